@@ -43,37 +43,50 @@ def crown_height(taper: DataFrame, mode: str = "height") -> DataFrame:
     )
 
 
+def _with_next(taper: DataFrame, diameters: Sequence[str]) -> DataFrame:
+    w = Window.partitionBy(*TREE).orderBy("height_bin")
+    return taper.select(
+        "*", F.lead("height_bin").over(w).alias("_h2"), *[F.lead(d).over(w).alias(f"_next_{d}") for d in diameters]
+    )
+
+
+def _gap(dbh_height: float) -> Column:
+    """Distance of a bin to breast height; the lower bin wins ties."""
+    return F.abs(F.col("height_bin") - dbh_height) + F.col("height_bin") * 1e-9
+
+
+def _body(d: str) -> Column:
+    length = F.col("_h2") - F.col("height_bin")
+    return F.coalesce(F.sum(forest.frustum(F.col(d), F.col(f"_next_{d}"), length)), F.lit(0.0))
+
+
+def _stem_volume(body: Column, d_lo: Column, d_hi: Column) -> Column:
+    """Frusta plus the cone up to the tree top plus the cylinder down to 0.3 m."""
+    top = (F.col("height") - F.col("_hi")) * F.pi() * d_hi * d_hi / 12.0
+    return body + top + F.pi() * d_lo * d_lo / 4.0 * (F.col("_lo") - 0.3)
+
+
 def volumes(taper: DataFrame, dbh_height: float, diameter: str = "ma_diameter") -> DataFrame:
     """Frustum volume, cone volume and the bin used for DBH, one row per tree.
 
-    One pass per tree: neighbours by ``lead``, end terms by min_by / max_by.
+    One shuffle: neighbours by ``lead``, end terms by min_by / max_by on the same key.
     """
-    w = Window.partitionBy(*TREE).orderBy("height_bin")
-    d = F.col(diameter)
-    rows = taper.select(
-        *TREE, "height_bin", "height", d.alias("_d"),
-        F.lead(d).over(w).alias("_d2"), F.lead("height_bin").over(w).alias("_h2"),
-    )
-    gap = F.abs(F.col("height_bin") - dbh_height) + F.col("height_bin") * 1e-9
-    per_tree = rows.groupBy(*TREE).agg(
+    gap = _gap(dbh_height)
+    per_tree = _with_next(taper, [diameter]).groupBy(*TREE).agg(
         F.first("height").alias("height"),
-        F.coalesce(F.sum(forest.frustum(F.col("_d"), F.col("_d2"), F.col("_h2") - F.col("height_bin"))), F.lit(0.0)).alias("_body"),
+        _body(diameter).alias("_body"),
         F.min("height_bin").alias("_lo"),
         F.max("height_bin").alias("_hi"),
-        F.min_by("_d", "height_bin").alias("_d_lo"),
-        F.max_by("_d", "height_bin").alias("_d_hi"),
+        F.min_by(diameter, "height_bin").alias("_d_lo"),
+        F.max_by(diameter, "height_bin").alias("_d_hi"),
         F.min_by("height_bin", gap).alias("dbh_bin"),
-        F.min_by("_d", gap).alias("_dbh"),
+        F.min_by(diameter, gap).alias("dbh"),
     )
-    top = (F.col("height") - F.col("_hi")) * F.pi() * F.col("_d_hi") * F.col("_d_hi") / 12.0
-    base = F.pi() * F.col("_d_lo") * F.col("_d_lo") / 4.0 * (F.col("_lo") - 0.3)
     return per_tree.select(
         *TREE,
-        (F.col("_body") + top + base).alias("volume_1"),
-        forest.cone_over_cylinder(F.col("_dbh"), F.col("height"), F.col("dbh_bin")).alias("volume_2"),
-        "dbh_bin",
-        F.col("_dbh").alias("dbh"),
-        "height",
+        _stem_volume(F.col("_body"), F.col("_d_lo"), F.col("_d_hi")).alias("volume_1"),
+        forest.cone_over_cylinder(F.col("dbh"), F.col("height"), F.col("dbh_bin")).alias("volume_2"),
+        "dbh_bin", "dbh", "height",
     )
 
 
@@ -82,27 +95,39 @@ def under_bark_taper(taper: DataFrame, dbh_height: float) -> DataFrame:
 
 
 def tree_table(taper: DataFrame, plots: DataFrame, dbh_height: float = 1.3, minimum_dbh: float = 0.0) -> DataFrame:
-    """Tree rows of the deliverable: diameter, volume, under-bark values, position, bearing."""
-    dbh = dbh_rows(taper, dbh_height, minimum_dbh).select(
-        *TREE, "bin_x", "bin_y", F.col("ma_diameter").alias("dbh_m"), F.col("height_bin").alias("dbh_bin"), "cci", "height"
+    """Tree rows of the deliverable: diameter, volume, under-bark values, position, bearing.
+
+    The taper is shuffled once by tree; every measure comes from one window and one
+    aggregate over that layout.
+    """
+    gap = _gap(dbh_height)
+    d = "ma_diameter"
+    per_tree = _with_next(under_bark_taper(taper, dbh_height), [d, "dub"]).groupBy(*TREE).agg(
+        F.first("height").alias("height"),
+        _body(d).alias("_body"),
+        _body("dub").alias("_body_ub"),
+        F.min("height_bin").alias("_lo"),
+        F.max("height_bin").alias("_hi"),
+        *[F.min_by(c, "height_bin").alias(f"_lo_{c}") for c in (d, "dub")],
+        *[F.max_by(c, "height_bin").alias(f"_hi_{c}") for c in (d, "dub")],
+        *[F.min_by(c, gap).alias(n) for c, n in ((d, "dbh_m"), ("height_bin", "dbh_bin"), ("bin_x", "bin_x"), ("bin_y", "bin_y"), ("cci", "cci"))],
     )
-    vol = volumes(taper, dbh_height).select(*TREE, "volume_1", "volume_2")
-    vub = volumes(under_bark_taper(taper, dbh_height), dbh_height, "dub").select(*TREE, F.col("volume_1").alias("vub"))
-    out = dbh.join(vol, list(TREE)).join(vub, list(TREE)).join(plots.select("plot_id", "cx", "cy"), "plot_id")
+    out = per_tree.filter(F.col("dbh_m") >= minimum_dbh).join(plots.select("plot_id", "cx", "cy"), "plot_id")
+    here = [F.col(c) for c in ("bin_x", "bin_y", "cx", "cy")]
     return out.select(
         *TREE,
         half_even(F.col("bin_x"), 3).alias("tree_x"),
         half_even(F.col("bin_y"), 3).alias("tree_y"),
-        geo.distance_xy(F.col("bin_x"), F.col("bin_y"), F.col("cx"), F.col("cy")).alias("distance"),
-        geo.bearing(F.col("bin_x"), F.col("bin_y"), F.col("cx"), F.col("cy")).alias("bearing"),
+        geo.distance_xy(*here).alias("distance"),
+        geo.bearing(*here).alias("bearing"),
         half_even(F.col("height"), 2).alias("height"),
         forest.metres_to_mm(F.col("dbh_m")).alias("dbh_taper"),
         half_even(F.col("dbh_bin"), 1).alias("dbh_bin"),
         F.rint("cci").alias("cci"),
-        half_even(F.col("volume_1"), 3).alias("volume"),
-        half_even(F.col("volume_2"), 3).alias("volume_2"),
+        half_even(_stem_volume(F.col("_body"), F.col(f"_lo_{d}"), F.col(f"_hi_{d}")), 3).alias("volume"),
+        half_even(forest.cone_over_cylinder(F.col("dbh_m"), F.col("height"), F.col("dbh_bin")), 3).alias("volume_2"),
         F.rint(forest.under_bark(F.col("dbh_m"), F.col("height"), dbh_height) * 1000.0).alias("dub"),
-        half_even(F.col("vub"), 3).alias("vub"),
+        half_even(_stem_volume(F.col("_body_ub"), F.col("_lo_dub"), F.col("_hi_dub")), 3).alias("vub"),
     )
 
 
