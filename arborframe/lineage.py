@@ -1,29 +1,47 @@
 """Lineage cut for iterative operators.
 
-Loops write each round through ``DataFrame.checkpoint`` into the shared folder
-named by ``spark.checkpoint.dir``; lost executors re-read it instead of
-recomputing the whole loop.
+Each round of a loop is written as a table into the shared folder the cluster names
+in ``spark.checkpoint.dir`` and read back, so a lost executor costs a re-read and the
+plan of a round never contains the rounds before it. A written table also carries
+file statistics, which a checkpointed RDD does not.
 """
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_written: dict[str, list[str]] = {}
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is not None:
-        return
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+
+def scratch_root(spark: SparkSession) -> str:
+    """Folder for intermediate tables; a local one only in local mode without a setting."""
+    folder = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not sc.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         folder = tempfile.mkdtemp(prefix="arborframe-checkpoint-")
-    sc.setCheckpointDir(folder)
+        spark.sparkContext.setCheckpointDir(folder)
+        folder = spark.sparkContext.getCheckpointDir()
+    return folder
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{scratch_root(spark)}/arborframe-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the intermediate tables of this application; call it once results are written."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    for p in paths:
+        hadoop_path = jvm.org.apache.hadoop.fs.Path(p)
+        hadoop_path.getFileSystem(conf).delete(hadoop_path, True)
+    return len(paths)

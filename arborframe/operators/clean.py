@@ -120,7 +120,7 @@ def thin_min_spacing(
     pending = cut_lineage(points.select(*slim))
     kept: list[DataFrame] = []
     for i in range(max_rounds):
-        pairs = radius_pairs(pending, pending, spacing, by=by, inclusive=False).filter(F.col("point_id") != F.col("near.point_id"))
+        pairs = radius_pairs(pending, pending, spacing, by=by, inclusive=False, size=2 * spacing).filter(F.col("point_id") != F.col("near.point_id"))
         if spacing_col:
             pairs = pairs.filter(F.col("dist") < F.col(spacing_col))
         closest = pairs.groupBy(*by, "point_id").agg(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arborframe.functions.numeric import half_even, id_hash, id_normal, id_uniform
+from arborframe.lineage import cut_lineage
 from arborframe.operators.clean import plot_extent, thin_min_spacing
 from arborframe.operators.spatial import XYZ
 
@@ -99,7 +100,7 @@ def box_cap(samples: DataFrame, cap: int, seed: int = 1) -> DataFrame:
 
 def local_shift(samples: DataFrame) -> DataFrame:
     """Shift each box by its rounded mean; the shift columns allow adding it back."""
-    mean = samples.groupBy("plot_id", "box_id").agg(*[half_even(F.avg(c)).alias(f"d{c}") for c in XYZ])
+    mean = samples.groupBy("plot_id", "box_id").agg(*[half_even(half_even(F.avg(c), 9)).alias(f"d{c}") for c in XYZ])
     out = samples.join(mean, ["plot_id", "box_id"])
     return out.withColumns({c: F.col(c) - F.col(f"d{c}") for c in XYZ})
 
@@ -184,8 +185,9 @@ def augment(samples: DataFrame, seed: int = 1, min_points: int = 1000, small_til
     turned = _rotated(*[F.col(c) for c in XYZ], *[F.col(f"_a{i}") for i in range(3)])
     rows = rows.withColumns({c: p * F.col("_scale") for c, p in zip(XYZ, turned)})
     if thin:
+        rows = cut_lineage(rows)
         loose = rows.filter("_spacing > 0")
-        thinned = thin_min_spacing(loose, 0.025, tuple(box_key), "_spacing")
+        thinned = cut_lineage(thin_min_spacing(loose, 0.025, tuple(box_key), "_spacing"))
         enough = thinned.groupBy(*box_key).agg(F.count(F.lit(1)).alias("_m")).filter(F.col("_m") >= min_points)
         kept = thinned.join(enough, box_key, "left_semi")
         rows = kept.unionByName(rows.join(enough, box_key, "left_anti"))

@@ -6,7 +6,7 @@ import importlib
 
 from arborframe.plans.registry import ORACLE, QUERIES
 
-MODULES = ("queries_measure", "queries_clean", "queries_tiling")
+MODULES = ("queries_measure", "queries_clean", "queries_tiling", "queries_terrain")
 
 for _name in MODULES:
     importlib.import_module(f"arborframe.plans.{_name}")

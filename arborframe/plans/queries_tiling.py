@@ -72,7 +72,7 @@ def _(v):
     return ti.chunk_corner_boxes(v.points).select(*IDS, "box_id")
 
 
-SHIFT = ", ".join(f"{even(f'avg({c})')} AS d{c}" for c in "xyz")
+SHIFT = ", ".join(f"{even(even(f'avg({c})', 9))} AS d{c}" for c in "xyz")
 
 
 @query("B6_local_shift", P + ASSIGN + f", m AS (SELECT plot_id, box_id, {SHIFT} FROM boxed GROUP BY plot_id, box_id) SELECT plot_id, point_id, box_id, dx, dy, dz, {even('x - dx', 6)} AS x, {even('y - dy', 6)} AS y, {even('z - dz', 6)} AS z FROM boxed JOIN m USING (plot_id, box_id)")
