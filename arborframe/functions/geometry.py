@@ -46,7 +46,7 @@ def distance_xy(x: Column, y: Column, cx: Column, cy: Column) -> Column:
 
 def bearing(x: Column, y: Column, cx: Column, cy: Column) -> Column:
     """Whole degrees clockwise from north, 0..359."""
-    return F.pmod(F.rint(F.degrees(F.atan2(x - cx, y - cy))), F.lit(360.0))
+    return F.pmod(F.rint(F.degrees(F.atan2(x - cx, y - cy))), F.lit(360.0)) + F.lit(0.0)
 
 
 def polar_to_xy(distance: Column, bearing_deg: Column) -> tuple[Column, Column]:
