@@ -115,6 +115,42 @@ FROM {embeddings}""",
 SELECT plot_id, plot_id / CAST(10 AS DOUBLE) AS cx, plot_id / CAST(20 AS DOUBLE) AS cy,
   CAST(14 + plot_id AS DOUBLE) AS plot_radius, CAST(2 AS DOUBLE) AS plot_radius_buffer, n_sources
 FROM (SELECT CAST(s_suppkey % 5 AS INT) AS plot_id, count(*) AS n_sources FROM {supplier} GROUP BY s_suppkey % 5) s""",
+    ),
+    # a scanned plantation: twelve tapering stems per plot, crowns, and sloping ground
+    "fx_scan": (
+        ("lineitem",),
+        """
+SELECT point_id, plot_id, tree, label, floor(x * 1000 + 0.5) / CAST(1000 AS DOUBLE) AS x, floor(y * 1000 + 0.5) / CAST(1000 AS DOUBLE) AS y,
+  floor(z * 1000 + 0.5) / CAST(1000 AS DOUBLE) AS z, intensity, gps_time
+FROM (
+  SELECT point_id, plot_id, tree, label, intensity, gps_time,
+    CASE WHEN label = 1 THEN h * 20 - 10 ELSE tx + CASE WHEN label = 4 THEN lean * h * 9 + r * cos(radians(a)) ELSE crown * cos(radians(a)) END END AS x,
+    CASE WHEN label = 1 THEN a / 18 - 10 ELSE ty + CASE WHEN label = 4 THEN r * sin(radians(a)) ELSE crown * sin(radians(a)) END END AS y,
+    CASE WHEN label = 1 THEN (h * 20 - 10) / 20 WHEN label = 4 THEN tx / 20 + h * 9 ELSE tx / 20 + 7 + h * 5 END AS z
+  FROM (
+    SELECT *, (tree % 4) * CAST(5 AS DOUBLE) - CAST(15 AS DOUBLE) / 2 AS tx, floor(tree / CAST(4 AS DOUBLE)) * 5 - 5 AS ty,
+      (tree % 3) / CAST(50 AS DOUBLE) AS lean, CAST(16 AS DOUBLE) / 100 - h * 8 / 100 + e AS r
+    FROM (
+      SELECT l_orderkey * 64 + row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice,
+          l_quantity, l_shipdate, l_discount, l_tax) AS point_id,
+        CAST(l_suppkey % 4 AS INT) AS plot_id, CAST(floor(l_suppkey % 48 / CAST(4 AS DOUBLE)) AS INT) AS tree,
+        CAST(CASE WHEN (l_partkey + l_orderkey) % 8 < 2 THEN 1 WHEN (l_partkey + l_orderkey) % 8 = 2 THEN 2 ELSE 4 END AS INT) AS label,
+        ((l_orderkey * 7919 + l_partkey * 104729) % 10007) / CAST(10007 AS DOUBLE) AS h,
+        ((l_partkey * 7907 + l_orderkey * 3571 + l_suppkey * 17) % 3600) / CAST(10 AS DOUBLE) AS a,
+        ((l_partkey * 31 + l_orderkey * 17) % 21 - 10) / CAST(2000 AS DOUBLE) AS e,
+        l_quantity * 3 / CAST(100 AS DOUBLE) AS crown, CAST(l_suppkey % 100 AS INT) AS intensity, l_orderkey / CAST(8 AS DOUBLE) AS gps_time
+      FROM {lineitem}) b) c) d""",
+    ),
+    # noisy circle sections: 40 points each, every ninth off the stem
+    "fx_sections": (
+        ("customer",),
+        """
+SELECT plot_id, section_id, point_id, cos(radians(point_id * 9)) * d AS u, sin(radians(point_id * 9)) * d AS v, radius
+FROM (
+  SELECT plot_id, section_id, point_id, radius,
+    CASE WHEN point_id % 9 = 0 THEN radius * 8 / 5 ELSE radius + ((section_id * 31 + point_id * point_id * 7) % 11 - 5) / CAST(1000 AS DOUBLE) END AS d
+  FROM (SELECT CAST(c_custkey % 4 AS INT) AS plot_id, c_custkey AS section_id, (50 + c_custkey * 17 % 200) / CAST(1000 AS DOUBLE) AS radius,
+    explode(sequence(0L, CAST(39 - c_custkey % 20 AS BIGINT))) AS point_id FROM {customer}) s) t""",
     ),
     "fx_diameters": (
         ("orders",),
@@ -162,6 +198,7 @@ def duck_ctes(*names: str) -> str:
     parts = []
     for name in names:
         tables, text = VIEWS[name]
+        text = text.replace("explode(sequence(0L, CAST(39 - c_custkey % 20 AS BIGINT)))", "unnest(range(0, 40 - c_custkey % 20))")
         for key, value in {**_DUCK_PARTS, **{t: t for t in tables}}.items():
             text = text.replace("{" + key + "}", value)
         parts.append(f"{name} AS ({text})")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arborframe.functions.numeric import half_even
@@ -134,3 +134,39 @@ def edge_coord(cos_t: Column, x: Column, y: Column, r: Column, top_x: Column, to
     sx = F.when(top_x < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
     sy = F.when(top_y < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
     return x + sx * ex, y + sy * ey
+
+
+def symmetric_eigenvalues(xx: Column, xy: Column, xz: Column, yy: Column, yz: Column, zz: Column) -> tuple[Column, Column]:
+    """(largest, smallest) eigenvalue of a symmetric 3x3 matrix in closed form."""
+    q = (xx + yy + zz) / 3.0
+    p = F.sqrt(((xx - q) * (xx - q) + (yy - q) * (yy - q) + (zz - q) * (zz - q) + 2.0 * (xy * xy + xz * xz + yz * yz)) / 6.0)
+    det = (xx - q) * ((yy - q) * (zz - q) - yz * yz) - xy * (xy * (zz - q) - yz * xz) + xz * (xy * yz - (yy - q) * xz)
+    phi = F.acos(clip(F.coalesce(F.try_divide(det, 2.0 * p * p * p), F.lit(1.0)), -1.0, 1.0)) / 3.0
+    return q + 2.0 * p * F.cos(phi), q + 2.0 * p * F.cos(phi + 2.0 * F.pi() / 3.0)
+
+
+MOMENTS = ("xx", "xy", "xz", "yy", "yz", "zz")
+
+
+def with_axis(df: DataFrame, which: str = "largest", names: Sequence[str] = ("nx", "ny", "nz")) -> DataFrame:
+    """Unit eigenvector of the covariance in columns xx..zz for its largest or smallest
+    eigenvalue, turned upwards.
+
+    It is the longest cross product of two rows of (C - lam I). Each step is its own
+    projection so that no generated method repeats the earlier terms.
+    """
+    m = [F.col(c) for c in MOMENTS]
+    out = df.withColumn("_lam", symmetric_eigenvalues(*m)[0 if which == "largest" else 1])
+    xx, xy, xz, yy, yz, zz = m
+    lam = F.col("_lam")
+    rows = ([xx - lam, xy, xz], [xy, yy - lam, yz], [xz, yz, zz - lam])
+    pairs = ((0, 1), (0, 2), (1, 2))
+    out = out.withColumns({f"_v{i}{k}": c for i, (p, q) in enumerate(pairs) for k, c in enumerate(cross(rows[p], rows[q]))})
+    v = [[F.col(f"_v{i}{k}") for k in range(3)] for i in range(3)]
+    out = out.withColumns({f"_s{i}": dot(v[i], v[i]) for i in range(3)})
+    s = [F.col(f"_s{i}") for i in range(3)]
+    first, second = (s[0] >= s[1]) & (s[0] >= s[2]), s[1] >= s[2]
+    out = out.withColumns({f"_p{k}": F.when(first, v[0][k]).when(second, v[1][k]).otherwise(v[2][k]) for k in range(3)})
+    out = out.withColumn("_size", F.sqrt(F.greatest(*s)) * F.when(F.col("_p2") < 0, F.lit(-1.0)).otherwise(F.lit(1.0)))
+    out = out.withColumns({n: F.try_divide(F.col(f"_p{k}"), F.col("_size")) for k, n in enumerate(names)})
+    return out.drop("_lam", "_size", *[f"_v{i}{k}" for i in range(3) for k in range(3)], *[f"_{a}{k}" for a in "sp" for k in range(3)])

@@ -86,6 +86,7 @@ def nearest_within(
     """
     right = one_per_position(right, coords, by, right_id, 1)
     inner = radius / 4.0
+    key = [*by, left_id]
     slim = left.select(*by, left_id, *coords)
 
     def best(rows: DataFrame, r: float) -> DataFrame:
@@ -95,13 +96,13 @@ def nearest_within(
             F.col(f"near.{right_id}").alias("near_id"),
             *[F.col(f"near.{c}").alias(c) for c in take],
         )
-        return pairs.groupBy(left_id).agg(F.min(picked).alias("best"))
+        return pairs.groupBy(*key).agg(F.min(picked).alias("best"))
 
     close = best(slim, inner)
-    still_open = slim.join(close.select(left_id), left_id, "left_anti")
+    still_open = slim.join(close.select(*key), key, "left_anti")
     far = best(still_open, radius)
     found = close.unionByName(far)
-    return left.join(found, left_id, "left").select(*left.columns, "best.near_id", "best.near_dist", *[F.col(f"best.{c}").alias(c) for c in take])
+    return left.join(found, key, "left").select(*left.columns, "best.near_id", "best.near_dist", *[F.col(f"best.{c}").alias(c) for c in take])
 
 
 def one_per_position(df: DataFrame, coords: Sequence[str], by: Sequence[str], row_id: str, keep: int) -> DataFrame:
@@ -125,32 +126,44 @@ def knn_join(
     by: Sequence[str] = ("plot_id",),
     exclude_self: bool = False,
     take: Sequence[str] = (),
+    condition: str | None = None,
+    need: str | None = None,
     max_rounds: int = 40,
 ) -> DataFrame:
     """Exact k nearest right rows of every left row, ties by right id.
 
     Rows with fewer than k neighbours inside the searched ring go to the next round
     with a doubled radius. Output: by-columns, left id, near_id, near_dist, rank and
-    ``take``. A left row gets fewer than k rows only if its group has fewer.
+    ``take``. A left row gets fewer than k rows only if its group has fewer. With a
+    ``condition`` on the pair (SQL over left columns and ``near``) the number of
+    neighbours each left row can have is given by its column ``need``.
     """
     by = list(by)
+    key = [*by, left_id]
     keep = k + 1 if exclude_self else k
-    right = one_per_position(right.select(*dict.fromkeys([*by, right_id, *coords, *take])), coords, by, right_id, keep)
-    own = 1 if exclude_self else 0
-    sizes = right.groupBy(*by).agg(F.least(F.count(F.lit(1)) - own, F.lit(k)).cast("int").alias("_need"))
-    pending = left.select(*by, left_id, *coords).join(sizes, by).filter("_need > 0")
+    right = right.select(*dict.fromkeys([*by, right_id, *coords, *take]))
+    if condition is None:
+        right = one_per_position(right, coords, by, right_id, keep)
     right = cut_lineage(right)
-    pending = cut_lineage(pending)
-    w = Window.partitionBy(left_id).orderBy("near_dist", "near_id")
+    if need is None:
+        own = 1 if exclude_self else 0
+        sizes = right.groupBy(*by).agg(F.least(F.count(F.lit(1)) - own, F.lit(k)).cast("int").alias("_need"))
+        pending = left.select(*key, *coords).join(sizes, by)
+    else:
+        pending = left.withColumn("_need", F.least(F.col(need), F.lit(k)).cast("int"))
+    pending = cut_lineage(pending.filter("_need > 0"))
+    w = Window.partitionBy(*key).orderBy("near_dist", "near_id")
     done: list[DataFrame] = []
     radius = start_radius
     for _ in range(max_rounds):
         pairs = radius_pairs(pending, right, radius, coords, by)
         if exclude_self:
             pairs = pairs.filter(F.col(left_id) != F.col(f"near.{right_id}"))
+        if condition:
+            pairs = pairs.filter(condition)
         ranked = (
             pairs.select(
-                *by, left_id, "_need",
+                *key, "_need",
                 F.col(f"near.{right_id}").alias("near_id"),
                 F.col("dist").alias("near_dist"),
                 *[F.col(f"near.{c}").alias(c) for c in take],
@@ -159,9 +172,9 @@ def knn_join(
             .filter(F.col("rank") <= k)
         )
         ranked = cut_lineage(ranked)
-        full = ranked.groupBy(left_id).agg(F.count(F.lit(1)).alias("_n"), F.first("_need").alias("_want")).filter("_n >= _want")
-        done.append(ranked.join(full.select(left_id), left_id, "left_semi").drop("_need"))
-        pending = cut_lineage(pending.join(full.select(left_id), left_id, "left_anti"))
+        full = ranked.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.first("_need").alias("_want")).filter("_n >= _want")
+        done.append(ranked.join(full.select(*key), key, "left_semi").drop("_need"))
+        pending = cut_lineage(pending.join(full.select(*key), key, "left_anti"))
         if pending.isEmpty():
             break
         radius *= 2.0

@@ -315,27 +315,15 @@ def vegetation_coverage(
 def plot_gradient(dtm: DataFrame) -> DataFrame:
     """Slope of the best-fit plane (total least squares) of each plot's terrain grid.
 
-    Nine moment sums per plot, then the smallest eigenvector of the 3x3 covariance in
+    Moment sums per plot, then the smallest eigenvector of the 3x3 covariance in
     closed form, so no point leaves the executors.
     """
     sums = dtm.groupBy("plot_id").agg(
         *[F.avg(c).alias(f"m_{c}") for c in "xyz"],
-        *[F.covar_pop(a, b).alias(f"{a}{b}") for a, b in ("xx", "xy", "xz", "yy", "yz", "zz")],
+        *[F.covar_pop(a, b).alias(f"{a}{b}") for a, b in geo.MOMENTS],
     )
-    xx, xy, xz, yy, yz, zz = [F.col(c) for c in ("xx", "xy", "xz", "yy", "yz", "zz")]
-    q = (xx + yy + zz) / 3.0
-    p = F.sqrt(((xx - q) * (xx - q) + (yy - q) * (yy - q) + (zz - q) * (zz - q) + 2.0 * (xy * xy + xz * xz + yz * yz)) / 6.0)
-    det = (
-        (xx - q) * ((yy - q) * (zz - q) - yz * yz) - xy * (xy * (zz - q) - yz * xz) + xz * (xy * yz - (yy - q) * xz)
-    ) / (p * p * p)
-    phi = F.acos(geo.clip(det / 2.0, -1.0, 1.0)) / 3.0
-    lam = q + 2.0 * p * F.cos(phi + 2.0 * F.pi() / 3.0)
-    base = sums.withColumn("_l", lam)
-    l = F.col("_l")
-    # cross product of the first two rows of (C - l I); for a plane over xy it never vanishes
-    n = geo.cross([xx - l, xy, xz], [xy, yy - l, yz])
-    up = F.when(n[2] < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
-    n = [c * up for c in n]
+    base = geo.with_axis(sums, "smallest")
+    n = [F.col(c) for c in ("nx", "ny", "nz")]
     one = F.lit(1.0)
     return base.select(
         "plot_id",

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from arborframe import params as pa
 from arborframe.functions.numeric import half_even
@@ -174,6 +175,7 @@ q AS (SELECT *, sqrt((mex - px) * (mex - px) + (mey - py) * (mey - py)) AS nn FR
 s AS (SELECT *, CASE WHEN nn < 1e-10 THEN px ELSE px + len * (mex - px) / nn END AS qx, CASE WHEN nn < 1e-10 THEN py ELSE py + len * (mey - py) / nn END AS qy FROM q),
 ra AS (SELECT plot_id, tree_id, CASE WHEN NOT branch AND c IS NOT NULL THEN sqrt((qx - mex) * (qx - mex) + (qy - mey) * (qy - mey)) / (2 * tr) END AS ratio FROM s),
 res AS (SELECT w.plot_id, w.tree_id, w.tz AS top_height, ratio FROM w LEFT JOIN ra USING (plot_id, tree_id))"""
+STRAIGHT = re.sub(r"\bby\b", "b_y", STRAIGHT)
 CLASS_SQL = """CASE WHEN ratio IS NULL THEN 'no score' WHEN ratio >= 0.5 THEN '1' WHEN top_height > 6 THEN CASE WHEN ratio < 1 / 8.0::DOUBLE THEN '8' WHEN ratio < 1 / 6.0::DOUBLE THEN '6' WHEN ratio < 1 / 5.0::DOUBLE THEN 'L' ELSE 'exception' END
 WHEN top_height > 4 THEN CASE WHEN ratio < 1 / 5.0::DOUBLE THEN 'S' WHEN ratio < 1 / 3.0::DOUBLE THEN '3' END ELSE 'regen' END"""
 
