@@ -98,6 +98,18 @@ def rotate_between(p: Vec, a: Vec, b: Vec) -> list[Column]:
     return [p[i] * cos_t + kxp[i] * sin_t + k[i] * kp * (1.0 - cos_t) for i in range(3)]
 
 
+def to_vertical(p: Vec, n: Vec) -> list[Column]:
+    """``rotate_between(p, n, up)`` for a unit vector ``n`` that does not point straight down."""
+    g = (n[1] * p[0] - n[0] * p[1]) / (1.0 + n[2])
+    return [p[0] * n[2] - n[0] * p[2] + n[1] * g, p[1] * n[2] - n[1] * p[2] - n[0] * g, p[2] * n[2] + n[0] * p[0] + n[1] * p[1]]
+
+
+def from_vertical(p: Vec, n: Vec) -> list[Column]:
+    """Inverse of ``to_vertical``."""
+    g = (n[0] * p[1] - n[1] * p[0]) / (1.0 + n[2])
+    return [p[0] * n[2] + n[0] * p[2] - n[1] * g, p[1] * n[2] + n[1] * p[2] + n[0] * g, p[2] * n[2] - n[0] * p[0] - n[1] * p[1]]
+
+
 def point_on_line_at_height(a: Vec, b: Vec, z: Column) -> list[Column]:
     t = F.try_divide(z - a[2], b[2] - a[2])
     return [a[0] + t * (b[0] - a[0]), a[1] + t * (b[1] - a[1]), F.when(t.isNotNull(), z)]

@@ -179,7 +179,7 @@ def section_points(axes: DataFrame, points: DataFrame, min_nz: float = 0.7, min_
     n = [F.col(f"n{c}") for c in XYZ]
     offset = geo.norm([a * b for a, b in zip(n, d)])
     pairs = placed.join(cloud, [*by, "_b"]).filter(offset < F.col("length") / 2.0)
-    flat = geo.rotate_between(d, n, [F.lit(v) for v in UP])
+    flat = geo.to_vertical(d, n)
     rows = pairs.select(*by, "skel_id", "point_id", flat[0].alias("u"), flat[1].alias("v"))
     counts = rows.groupBy(*by, "skel_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_points)
     return rows.join(counts, [*by, "skel_id"], "left_semi")
@@ -304,7 +304,7 @@ def fit_cylinders(axes: DataFrame, points: DataFrame, tolerance: float = 0.03, t
     out = axes.join(sizes, key).join(circles, key, "left").join(cci, key, "left")
     n = [F.col(f"n{c}") for c in XYZ]
     fitted = F.col("radius").isNotNull()
-    turned = geo.rotate_between([F.col("cu"), F.col("cv"), F.lit(0.0)], [F.lit(v) for v in UP], n)
+    turned = geo.from_vertical([F.col("cu"), F.col("cv"), F.lit(0.0)], n)
     failed = ~fitted & (F.col("_n") > MIN_FIT_POINTS)
     return out.select(
         "plot_id", "branch_id", F.col("skel_id").alias("cyl_id"),
@@ -328,7 +328,7 @@ def cylinder_fit_variation(points: DataFrame, by: Sequence[str], trials: int = 5
     )
     stats = cut_lineage(geo.with_axis(stats).drop(*geo.MOMENTS))
     joined = points.join(stats.filter("n >= 10 AND nx IS NOT NULL"), by)
-    flat = geo.rotate_between([F.col(c) - F.col(f"m{c}") for c in XYZ], [F.col(f"n{c}") for c in XYZ], [F.lit(v) for v in UP])
+    flat = geo.to_vertical([F.col(c) - F.col(f"m{c}") for c in XYZ], [F.col(f"n{c}") for c in XYZ])
     plane = cut_lineage(joined.select(*by, "point_id", flat[0].alias("u"), flat[1].alias("v")))
     cand = cut_lineage(circle_candidates(plane, by, trials, seed))
     err = F.sqrt((F.col("u") - F.col("cu")) * (F.col("u") - F.col("cu")) + (F.col("v") - F.col("cv")) * (F.col("v") - F.col("cv"))) / F.col("cr")
@@ -340,7 +340,7 @@ def cylinder_fit_variation(points: DataFrame, by: Sequence[str], trials: int = 5
     w = Window.partitionBy(*by).orderBy(half_even(F.col("cv_error"), 9), "trial")
     best = score.filter(F.col("_in") >= 0.2 * F.col("_n")).withColumn("_r", F.row_number().over(w)).filter("_r = 1")
     out = stats.join(best.select(*by, "cv_error", "radius", "cu", "cv"), by, "left")
-    back = geo.rotate_between([F.col("cu"), F.col("cv"), F.lit(0.0)], [F.lit(v) for v in UP], [F.col(f"n{c}") for c in XYZ])
+    back = geo.from_vertical([F.col("cu"), F.col("cv"), F.lit(0.0)], [F.col(f"n{c}") for c in XYZ])
     return out.select(
         *by, "radius", *[F.when(F.col("radius").isNotNull(), F.col(f"m{c}") + t).otherwise(F.col(f"m{c}")).alias(c) for c, t in zip(XYZ, back)],
         F.col("cv_error").alias("cv"), "n",
