@@ -58,6 +58,9 @@ def radius_pairs(
     for k, c in zip(keys, coords):
         lo, hi = cell(F.col(f"near.{c}") - radius, size), cell(F.col(f"near.{c}") + radius, size)
         near = near.withColumn(k, F.explode(F.sequence(lo, hi)))
+    # plan-time statistics do not see the copies; behind an exchange the join is chosen
+    # from the real size: broadcast when small, else merge on this very partitioning
+    near = near.repartition(*by, *keys)
     placed = left.select("*", *[cell(F.col(c), size).alias(k) for k, c in zip(keys, coords)])
     pairs = placed.join(near, by + keys)
     if metric == "euclid":

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from arborframe.functions.numeric import half_even, id_hash, id_normal, id_uniform
+from arborframe.functions.numeric import HASH_P2, half_even, id_hash, id_normal, id_uniform
 from arborframe.lineage import cut_lineage
 from arborframe.operators.clean import plot_extent, thin_min_spacing
 from arborframe.operators.spatial import XYZ
 
-SALTS = 64
+BUCKETS = 256
 
 
 # ---------------------------------------------------------------- boxes
@@ -86,16 +86,20 @@ def box_min_points(samples: DataFrame, minimum: int = 1000) -> DataFrame:
 def box_cap(samples: DataFrame, cap: int, seed: int = 1) -> DataFrame:
     """Random ``cap`` points per box in id-hash order.
 
-    A first rank inside (box, salt) leaves at most cap rows per salt, so a box that
-    holds much of the data is ranked by many tasks before the final rank.
+    The hash range is cut into equal buckets; bucket counts (combined before the shuffle)
+    show in which bucket a box reaches its cap. Points of later buckets are filtered out
+    without a sort, so a box that holds much of the data is cut to little more than its
+    cap before it is ranked.
     """
-    order = [id_hash(F.col("point_id"), seed), F.col("point_id")]
-    salted = samples.withColumn("_salt", F.pmod(F.xxhash64("point_id"), F.lit(SALTS)))
-    first = Window.partitionBy("plot_id", "box_id", "_salt").orderBy(*order)
-    last = Window.partitionBy("plot_id", "box_id").orderBy(*order)
-    out = salted.withColumn("_r", F.row_number().over(first)).filter(F.col("_r") <= cap)
-    out = out.withColumn("_r", F.row_number().over(last)).filter(F.col("_r") <= cap)
-    return out.select(*samples.columns)
+    key = ["plot_id", "box_id"]
+    rows = samples.withColumn("_h", id_hash(F.col("point_id"), seed))
+    rows = rows.withColumn("_b", F.floor(F.col("_h") / (HASH_P2 / BUCKETS)).cast("int"))
+    counts = rows.groupBy(*key, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(*key).orderBy("_b")) - F.col("_n")
+    last = counts.withColumn("_before", before).filter(F.col("_before") < cap).groupBy(*key).agg(F.max("_b").alias("_last"))
+    kept = rows.join(last, key).filter(F.col("_b") <= F.col("_last"))
+    rank = F.row_number().over(Window.partitionBy(*key).orderBy("_h", "point_id"))
+    return kept.withColumn("_r", rank).filter(F.col("_r") <= cap).select(*samples.columns)
 
 
 def local_shift(samples: DataFrame) -> DataFrame:

@@ -161,12 +161,15 @@ def split_by_label(sources: dict[str, DataFrame]) -> tuple[list[str], list[str]]
 def load_glyphs(spark: SparkSession, folder: str) -> DataFrame:
     """Alphabet of 0/1 grids, one comma-separated file per character, as set bits.
 
-    File names are the characters; ``semiC``, ``dot``, ``space`` and ``_M`` stand for
-    ':', '.', ' ' and 'M'.
+    File names are the characters; ``semiC``, ``dot``, ``space``, ``capM`` and
+    ``underscore`` stand for ':', '.', ' ', 'M' and '_' (file readers skip names that
+    begin with an underscore, so those two need a plain name).
     """
-    files = spark.read.option("wholetext", "true").option("pathGlobFilter", "*.csv").text(folder)
+    files = spark.read.text(folder, wholetext=True, pathGlobFilter="*.csv")
     name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.csv$", 1)
-    ch = F.when(name == "semiC", ":").when(name == "dot", ".").when(name == "space", " ").when(name == "_M", "M").otherwise(name)
+    ch = name
+    for file_name, char in (("semiC", ":"), ("dot", "."), ("space", " "), ("capM", "M"), ("underscore", "_")):
+        ch = F.when(name == file_name, char).otherwise(ch)
     rows = files.select(ch.alias("ch"), F.posexplode(F.split(F.trim("value"), r"\r?\n")).alias("row", "line"))
     cells = rows.select("ch", "row", F.posexplode(F.split("line", ",")).alias("col", "bit"))
     return cells.filter(F.trim("bit").cast("int") == 1).select("ch", "row", "col")
