@@ -54,13 +54,16 @@ def radius_pairs(
     size = size or radius
     by = list(by)
     keys = [f"_c{i}" for i in range(len(coords))]
-    near = right.select(*by, F.struct(*right.columns).alias("near"))
+    flat = right.select(*by, *[F.col(c).alias(f"_n_{c}") for c in right.columns])
     for k, c in zip(keys, coords):
-        lo, hi = cell(F.col(f"near.{c}") - radius, size), cell(F.col(f"near.{c}") + radius, size)
-        near = near.withColumn(k, F.explode(F.sequence(lo, hi)))
-    # plan-time statistics do not see the copies; behind an exchange the join is chosen
-    # from the real size: broadcast when small, else merge on this very partitioning
-    near = near.repartition(*by, *keys)
+        lo, hi = cell(F.col(f"_n_{c}") - radius, size), cell(F.col(f"_n_{c}") + radius, size)
+        flat = flat.withColumn(k, F.explode(F.sequence(lo, hi)))
+    # Plan-time statistics do not see the copies. Behind an exchange the join is chosen from
+    # the real size: broadcast when small, else a merge join. The exchange is not on the
+    # join keys and is followed by a projection, so the merge join brings its own exchange,
+    # which adaptive execution may split when a cell is crowded.
+    flat = flat.repartition(*by, F.xxhash64(*keys))
+    near = flat.select(*by, *keys, F.struct(*[F.col(f"_n_{c}").alias(c) for c in right.columns]).alias("near"))
     placed = left.select("*", *[cell(F.col(c), size).alias(k) for k, c in zip(keys, coords)])
     pairs = placed.join(near, by + keys)
     if metric == "euclid":

@@ -45,9 +45,9 @@ def scan_cylinders(v):
     )
 
 
-@query("K1_preprocess", fx("fx_scan", "fx_plots") + """, crop AS (SELECT s.* FROM fx_scan s WHERE sqrt(x * x + y * y) < 14), kept AS (SELECT * FROM crop WHERE intensity >= 10),
+@query("K1_preprocess", fx("fx_scan", "fx_plots").rstrip() + """, crop AS (SELECT s.* FROM fx_scan s WHERE sqrt(x * x + y * y) < 14), kept AS (SELECT * FROM crop WHERE intensity >= 10),
 dd AS (SELECT plot_id, count(*) AS n FROM (SELECT DISTINCT plot_id, x, y, z FROM kept) GROUP BY plot_id), oo AS (SELECT plot_id, count(*) AS n FROM crop GROUP BY plot_id)
-SELECT p.plot_id, coalesce(oo.n, 0) AS num_points_original, coalesce(dd.n, 0) AS num_points_trimmed, coalesce(dd.n, 0) AS num_points_subsampled FROM fx_plots p LEFT JOIN oo ON oo.plot_id = p.plot_id LEFT JOIN dd ON dd.plot_id = p.plot_id""".replace("\n", " ").replace(", crop", "  , crop", 1))
+SELECT p.plot_id, coalesce(oo.n, 0) AS num_points_original, coalesce(dd.n, 0) AS num_points_trimmed, coalesce(dd.n, 0) AS num_points_subsampled FROM fx_plots p LEFT JOIN oo ON oo.plot_id = p.plot_id LEFT JOIN dd ON dd.plot_id = p.plot_id""")
 def _(v):
     return jobs.preprocess(v.scan, scan_plots(v), SPARSE)["summary"].select("plot_id", "num_points_original", "num_points_trimmed", "num_points_subsampled")
 

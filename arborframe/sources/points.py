@@ -172,4 +172,4 @@ def load_glyphs(spark: SparkSession, folder: str) -> DataFrame:
         ch = F.when(name == file_name, char).otherwise(ch)
     rows = files.select(ch.alias("ch"), F.posexplode(F.split(F.trim("value"), r"\r?\n")).alias("row", "line"))
     cells = rows.select("ch", "row", F.posexplode(F.split("line", ",")).alias("col", "bit"))
-    return cells.filter(F.trim("bit").cast("int") == 1).select("ch", "row", "col")
+    return cells.filter(F.trim("bit") == "1").select("ch", "row", "col")
