@@ -104,7 +104,8 @@ def nearest_within(
         )
         return pairs.groupBy(*key).agg(F.min(picked).alias("best"))
 
-    close = best(slim, inner)
+    # read by two branches below, so it is written once instead of joined twice
+    close = cut_lineage(best(slim, inner))
     still_open = slim.join(close.select(*key), key, "left_anti")
     far = best(still_open, radius)
     found = close.unionByName(far)
