@@ -74,7 +74,19 @@ def _(v):
     return cl.dedup_xyz(v.points).select(*IDS)
 
 
-@query("F9_thin_min_spacing")
+GAP = "sqrt((p.x - q.x) * (p.x - q.x) + (p.y - q.y) * (p.y - q.y) + (p.z - q.z) * (p.z - q.z))"
+CLOSE = f"p.plot_id = q.plot_id AND p.point_id <> q.point_id AND abs(p.x - q.x) < 0.3 AND abs(p.y - q.y) < 0.3 AND abs(p.z - q.z) < 0.3 AND {GAP} < 0.3"
+SPOTS = "(SELECT plot_id, min(point_id) AS point_id, any_value(x) AS x, any_value(y) AS y, any_value(z) AS z FROM fx_points GROUP BY plot_id, " + ", ".join(even(c, 3) for c in "xyz") + ")"
+THIN = fx("fx_points").rstrip().replace("WITH ", "WITH RECURSIVE ", 1) + f""", rec(rnd, plot_id, point_id, x, y, z) AS (
+  SELECT 0, plot_id, point_id, x, y, z FROM {SPOTS}
+  UNION ALL
+  SELECT rnd + 1, plot_id, point_id, x, y, z FROM (SELECT p.*, q.z AS qz, row_number() OVER (PARTITION BY p.point_id ORDER BY {GAP}, q.point_id) AS r FROM rec p JOIN rec q ON {CLOSE}) WHERE r = 1 AND z < qz),
+cnt AS (SELECT rnd, plot_id, count(*) AS n FROM rec GROUP BY rnd, plot_id)
+SELECT a.plot_id, a.point_id FROM rec a JOIN cnt ON a.rnd = cnt.rnd AND a.plot_id = cnt.plot_id AND (a.rnd = 0 OR n > 1)
+ANTI JOIN (SELECT p.rnd, p.point_id FROM rec p JOIN rec q ON p.rnd = q.rnd AND {CLOSE}) c ON c.rnd = a.rnd AND c.point_id = a.point_id"""
+
+
+@query("F9_thin_min_spacing", THIN)
 def _(v):
     return cl.thin_min_spacing(cl.dedup_xyz(v.points), 0.3).select(*IDS)
 
