@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from arborframe.lineage import cut_lineage
+from arborframe.lineage import cut_lineage, release
 from arborframe.operators.spatial import XYZ, cell, radius_pairs
 
 
-def connected_components(edges: DataFrame, by: Sequence[str] = ("plot_id",), max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, by: Sequence[str] = ("plot_id",)) -> DataFrame:
     """(by, node, component) for every node on an edge (columns u, v); component = smallest node.
 
     Alternating large-star / small-star rounds. Every step is an aggregate with a
@@ -30,7 +31,7 @@ def connected_components(edges: DataFrame, by: Sequence[str] = ("plot_id",), max
 
     work = cut_lineage(pairs(edges, F.greatest(u, v), F.least(u, v)).filter("u <> v").distinct())
     seen = state(work)
-    for _ in range(max_rounds):
+    while True:
         both = work.unionByName(pairs(work, v, u))
         low = both.groupBy(*by, "u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(low, [*by, "u"]).filter(v > u)
@@ -39,33 +40,35 @@ def connected_components(edges: DataFrame, by: Sequence[str] = ("plot_id",), max
         linked = large.join(low, [*by, "u"])
         small = pairs(linked, v, F.col("m")).filter("u <> v").unionByName(pairs(low, u, F.col("m")))
         small = pairs(small, F.greatest(u, v), F.least(u, v)).distinct()
-        work = cut_lineage(small)
+        last, work = work, cut_lineage(small)
+        release(last)
         now = state(work)
         if now == seen:
             break
         seen = now
-    else:
-        raise RuntimeError("components did not settle")
     roots = work.select(*by, F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return work.select(*by, F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
-def resolve_roots(edges: DataFrame, node: str, parent: str, by: Sequence[str] = ("plot_id",), max_rounds: int = 40) -> DataFrame:
+def resolve_roots(edges: DataFrame, node: str, parent: str, by: Sequence[str] = ("plot_id",)) -> DataFrame:
     """(by, node, root) by pointer jumping; a root points to itself. Rows whose parent is
-    not a node keep that parent as root. Rounds grow with the log of the depth."""
+    not a node keep that parent as root. Rounds grow with the log of the depth; pointers
+    that still move after that many rounds form a cycle, which is an error in the input."""
     by = list(by)
     now = cut_lineage(edges.select(*by, F.col(node).alias("node"), F.col(parent).alias("root")))
-    for _ in range(max_rounds):
+    for _ in range(now.count().bit_length() + 2):
         step = now.select(*by, F.col("node").alias("root"), F.col("root").alias("_next"))
         nxt = now.join(step, [*by, "root"], "left").select(*by, "node", F.coalesce("_next", "root").alias("_new"), F.col("root").alias("_old"))
-        nxt = cut_lineage(nxt)
+        last, nxt = now, cut_lineage(nxt)
+        release(last)
         now = nxt.select(*by, "node", F.col("_new").alias("root"))
+        now._scratch_path = nxt._scratch_path
         if nxt.filter("_new <> _old").isEmpty():
             return now.withColumnRenamed("node", node)
     raise RuntimeError("parent pointers form a cycle")
 
 
-def trace_paths(branches: DataFrame, starts: DataFrame, by: Sequence[str] = ("plot_id",), max_rounds: int = 10000) -> tuple[DataFrame, DataFrame]:
+def trace_paths(branches: DataFrame, starts: DataFrame, by: Sequence[str] = ("plot_id",)) -> tuple[DataFrame, DataFrame]:
     """Climb from each start to the thickest child that begins no lower than the start's top.
 
     branches(by, branch_id, parent_branch_id, mean_radius, z_min), starts(by, start_id,
@@ -81,7 +84,7 @@ def trace_paths(branches: DataFrame, starts: DataFrame, by: Sequence[str] = ("pl
     path = [front.select(*key, F.lit(0).alias("step"), F.col("cur").alias("branch_id"))]
     kids = [front.select(*key, F.col("cur").alias("branch_id"))]
     best = Window.partitionBy(*key).orderBy(F.desc("mean_radius"), "branch_id")
-    for step in range(1, max_rounds):
+    for step in itertools.count(1):
         next_kids = cut_lineage(front.join(child, [*by, "cur"]))
         if next_kids.isEmpty():
             break
