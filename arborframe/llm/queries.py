@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from arborframe.llm import linededup, mixing, packing, quality, simhash, sqltext, toxicity
+from arborframe.llm import editprint, linededup, mixing, packing, quality, simhash, sqltext, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.page_records(warc.round_trip(table(spark, sf_dir, "pages")))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = linededup.drop_repeated_lines(table(spark, sf_dir, "documents"), counted=True)
     return cleaned.select("doc_id", "text", "n_lines", "n_dropped")
@@ -37,6 +41,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return editprint.with_next(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -45,12 +53,14 @@ QUERIES: dict[str, Query] = {
     "op2_toxicity": op2_toxicity,
     "op3_mixing": op3_mixing,
     "op4_simhash": op4_simhash,
+    "op5_warc": op5_warc,
     "op6_line_dedup": op6_line_dedup,
     "op8_quality": op8_quality,
+    "op9_fingerprints": op9_fingerprints,
     "op10_packing": op10_packing,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE: dict[str, str] = {"op3_mixing": sqltext.MIXING}
+ORACLE: dict[str, str] = {"op3_mixing": sqltext.MIXING, "op5_warc": sqltext.WARC}
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -36,3 +36,20 @@ SELECT p.doc_id, p.size, p.source_size, p.target,
        (p.size * (p.full_passes + CASE WHEN p.whole AND p.part > 0 OR p.start = k.pick.start AND p.size > 0 THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM parts p LEFT JOIN picks k ON p.source IS NOT DISTINCT FROM k.source
 """
+
+WARC = r"""
+WITH hashed AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS hexed FROM pages
+), coded AS (
+  SELECT page_id, payload_bytes, list_aggregate(list_transform(range(1, 41, 5), lambda i: list_aggregate(list_transform([15, 10, 5, 0],
+           lambda b: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((CAST('0x' || substr(hexed, i, 5) AS BIGINT) >> b) & 31) + 1, 1)), 'string_agg', '')),
+         'string_agg', '') AS payload_digest
+  FROM hashed
+), classed AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS top FROM coded
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN top IS NOT NULL AND page_id IS DISTINCT FROM top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM top THEN top END AS refers_to
+FROM classed
+"""
