@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from arborframe.llm import editprint, linededup, mixing, packing, quality, simhash, sqltext, toxicity, warc
+from arborframe.llm import capfilter, editprint, linededup, mixing, packing, quality, simhash, sqltext, toxicity, warc, wrapper
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrapper.extract(table(spark, sf_dir, "pages"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -37,6 +41,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "text", "n_lines", "n_dropped")
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return capfilter.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -50,11 +58,13 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_toxicity": op2_toxicity,
     "op3_mixing": op3_mixing,
     "op4_simhash": op4_simhash,
     "op5_warc": op5_warc,
     "op6_line_dedup": op6_line_dedup,
+    "op7_embedding_dedup": op7_embedding_dedup,
     "op8_quality": op8_quality,
     "op9_fingerprints": op9_fingerprints,
     "op10_packing": op10_packing,
