@@ -18,7 +18,7 @@ EDGE = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~"
 PREFIXES = range(3, 8)
 _RUNS = ((re.compile(r"[A-ZÀ-ÖØ-Þ]+"), "A"), (re.compile(r"[^\W\d_A-ZÀ-ÖØ-Þ]+"), "a"), (re.compile(r"\d+"), "0"))
 #: Entries of a worker's memo of word features; it is emptied when full, which changes no result.
-MEMO = 400_000
+MEMO = 150_000
 
 
 def shape(token: str) -> str:
