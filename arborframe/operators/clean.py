@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import itertools
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arborframe.functions.numeric import half_even, id_normal
-from arborframe.lineage import cut_lineage
+from arborframe.lineage import cut_lineage, release
 from arborframe.operators.spatial import XYZ, radius_pairs
 
 NOISE, TERRAIN, VEGETATION, CWD, STEM, UNUSED = 0, 1, 2, 3, 4, 6
@@ -43,7 +44,7 @@ def crop_circle(points: DataFrame, plots: DataFrame, with_buffer: bool = True, i
     centre = plots.select("plot_id", "cx", "cy", "plot_radius", F.col("plot_radius_buffer").alias("_b"))
     limit = F.col("plot_radius") + (F.col("_b") if with_buffer else F.lit(0.0))
     inside = _from_centre() <= limit if inclusive else _from_centre() < limit
-    joined = points.join(centre, "plot_id")
+    joined = points.join(cut_lineage(centre), "plot_id")
     return joined.filter((F.col("plot_radius") == 0) | inside).select(*points.columns)
 
 
@@ -74,7 +75,7 @@ def filter_returns(points: DataFrame, top_band: float = 5.0) -> DataFrame:
         .when(F.col("_hi") > 1, ~((rn < 2) & (F.col("z") < F.col("_top") - top_band)))
         .otherwise(F.lit(True))
     )
-    return points.join(per_plot, "plot_id").filter(keep).select(*points.columns)
+    return points.join(cut_lineage(per_plot), "plot_id").filter(keep).select(*points.columns)
 
 
 def split_low_intensity(points: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
@@ -90,7 +91,7 @@ def low_intensity_vegetation(low: DataFrame, stem_min_height: float, base_cutoff
 def filter_far_range(points: DataFrame, range_col: str = "scan_range", max_range: float = 20.0, band: float = 5.0) -> DataFrame:
     low = points.groupBy("plot_id").agg(F.min("z").alias("_low"))
     far = (F.col(range_col) > max_range) & (F.col("z") < F.col("_low") + band)
-    return points.join(low, "plot_id").filter(~far).select(*points.columns)
+    return points.join(cut_lineage(low), "plot_id").filter(~far).select(*points.columns)
 
 
 def dedup_xyz(points: DataFrame, decimals: int = 3) -> DataFrame:
@@ -106,7 +107,6 @@ def thin_min_spacing(
     spacing: float,
     by: tuple[str, ...] = ("plot_id",),
     spacing_col: str | None = None,
-    max_rounds: int = 100,
 ) -> DataFrame:
     """Keep points whose nearest neighbour is at least ``spacing`` away; of the close
     ones, those lower than their neighbour try again among themselves.
@@ -119,7 +119,7 @@ def thin_min_spacing(
     slim = [*by, "point_id", *XYZ, *own]
     pending = cut_lineage(points.select(*slim))
     kept: list[DataFrame] = []
-    for i in range(max_rounds):
+    for i in itertools.count():  # ends: the highest of close points never stays pending
         pairs = radius_pairs(pending, pending, spacing, by=by, inclusive=False, size=2 * spacing).filter(F.col("point_id") != F.col("near.point_id"))
         if spacing_col:
             pairs = pairs.filter(F.col("dist") < F.col(spacing_col))
@@ -131,7 +131,8 @@ def thin_min_spacing(
             judged = judged.join(pending.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")), list(by)).filter("_n > 1")
         judged = cut_lineage(judged)
         kept.append(judged.filter(F.col("near").isNull()).select(*by, "point_id"))
-        pending = cut_lineage(judged.filter(F.col("z") < F.col("near.z")).select(*slim))
+        last, pending = pending, cut_lineage(judged.filter(F.col("z") < F.col("near.z")).select(*slim))
+        release(last)
         if pending.isEmpty():
             break
     ids = reduce(DataFrame.unionByName, kept)

@@ -205,11 +205,12 @@ def assign_stem_2d(rest: DataFrame, cylinders: DataFrame, max_range: float) -> t
 
 
 def assign_veg_levels(
-    rest: DataFrame, cylinders: DataFrame, max_range: float, levels: Sequence[float] = (0.9, 0.8, 0.7), min_left: int = 10000
+    rest: DataFrame, cylinders: DataFrame, max_range: float, levels: Sequence[float] = (0.9, 0.8, 0.7), min_left: int = 0
 ) -> tuple[DataFrame, DataFrame]:
     """Left-over vegetation in passes over falling cylinder bands, range shrinking by
-    0.5 m per pass; a plot leaves the passes once fewer than ``min_left`` points are
-    open; the last pass uses every cylinder below the plot's last band."""
+    0.5 m per pass; the last pass uses every cylinder below the plot's last band. By
+    default every plot runs all passes; with ``min_left`` (10000 in the original rule) a
+    plot leaves them once fewer points are open."""
     from arborframe.lineage import cut_lineage
 
     inf = float("inf")

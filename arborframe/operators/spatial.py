@@ -135,7 +135,6 @@ def knn_join(
     take: Sequence[str] = (),
     condition: str | None = None,
     need: str | None = None,
-    max_rounds: int = 40,
 ) -> DataFrame:
     """Exact k nearest right rows of every left row, ties by right id.
 
@@ -162,7 +161,7 @@ def knn_join(
     w = Window.partitionBy(*key).orderBy("near_dist", "near_id")
     done: list[DataFrame] = []
     radius = start_radius
-    for _ in range(max_rounds):
+    while True:  # ends: the radius doubles until every needed row is inside
         pairs = radius_pairs(pending, right, radius, coords, by)
         if exclude_self:
             pairs = pairs.filter(F.col(left_id) != F.col(f"near.{right_id}"))
@@ -185,6 +184,4 @@ def knn_join(
         if pending.isEmpty():
             break
         radius *= 2.0
-    else:
-        raise RuntimeError("neighbour search did not settle; raise start_radius")
     return reduce(DataFrame.unionByName, done)

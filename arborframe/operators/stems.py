@@ -40,7 +40,7 @@ def _slice_height(i: Column) -> Column:
 def slice_points(stem_points: DataFrame, increment: float = 0.1, thickness: float = 0.15, single_height: float = 10.0) -> DataFrame:
     """Overlapping z slices: start <= z < start + thickness. The slice numbers of a point
     are arithmetic on its z, so there is no range join."""
-    out = stem_points.join(slice_table(stem_points, increment, single_height), "plot_id")
+    out = stem_points.join(cut_lineage(slice_table(stem_points, increment, single_height)), "plot_id")
     none = F.expr("array(CAST(NULL AS BIGINT))")
 
     def span(base: str, step: str, n: str, shift: Column) -> Column:

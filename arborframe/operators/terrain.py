@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from functools import reduce
 
 import numpy as np
@@ -110,7 +111,7 @@ def make_dtm(points: DataFrame, plots: DataFrame | None = None, resolution: floa
     return dtm
 
 
-def make_dem(points: DataFrame, length: float = 0.5, terrain_label: int = 1, max_size: int = 1001) -> DataFrame:
+def make_dem(points: DataFrame, length: float = 0.5, terrain_label: int = 1) -> DataFrame:
     """Cell raster of ground heights with gaps closed by a growing median window.
 
     A cell has a value only if a terrain point equals the cell's median z. The window
@@ -147,7 +148,7 @@ def make_dem(points: DataFrame, length: float = 0.5, terrain_label: int = 1, max
 
     sizes: list[DataFrame] = []
     open_plots = raster.select("plot_id").distinct()
-    for half in range(1, max_size // 2 + 1):
+    for half in itertools.count(1):  # ends: every plot here has a valued cell, and the window grows over the raster
         rows = raster.join(open_plots, "plot_id", "left_semi")
         covered = window(rows, half).select("plot_id", "cx", "cy").distinct()
         gaps = rows.join(covered, ["plot_id", "cx", "cy"], "left_anti").select("plot_id").distinct()
@@ -180,8 +181,8 @@ def hag_nearest(points: DataFrame, dtm: DataFrame, resolution: float, row_id: st
     hit = placed.filter(F.col("_ground").isNotNull())
     nodes = dtm.select("plot_id", *XY, F.col("z").alias("_ground"), F.xxhash64("x", "y").alias("_node"))
     missed = placed.filter(F.col("_ground").isNull()).drop("_ground")
-    found = knn_join(missed, nodes, 1, row_id, "_node", 2 * resolution, XY, take=("_ground",)).select(row_id, "_ground")
-    whole = hit.unionByName(missed.join(found, row_id))
+    found = knn_join(missed, nodes, 1, row_id, "_node", 2 * resolution, XY, take=("_ground",)).select("plot_id", row_id, "_ground")
+    whole = hit.unionByName(missed.join(found, ["plot_id", row_id]))
     return whole.withColumn("hag", F.col("z") - F.col("_ground")).drop("_ground")
 
 

@@ -46,7 +46,7 @@ def assign_boxes(points: DataFrame, size: float = 6.0, overlap: float = 0.5) ->
 
     The box index range is arithmetic on the point, so no join with the boxes is needed.
     """
-    out = points.join(box_axes(points, size, overlap), "plot_id")
+    out = points.join(cut_lineage(box_axes(points, size, overlap)), "plot_id")
     half = size / 2.0
     for c in XYZ:
         rel = F.col(c) - F.col(f"o_{c}")
@@ -61,13 +61,13 @@ def assign_boxes(points: DataFrame, size: float = 6.0, overlap: float = 0.5) ->
 def chunk_corner_boxes(points: DataFrame, size: float = 6.0, step: float = 3.0) -> DataFrame:
     """Corner-based variant on mean-shifted coordinates, both box borders inclusive."""
     mean = points.groupBy("plot_id").agg(*[F.avg(c).alias(f"m_{c}") for c in XYZ])
-    moved = points.join(mean, "plot_id").withColumns({c: F.col(c) - F.col(f"m_{c}") for c in XYZ}).select(*points.columns)
+    moved = points.join(cut_lineage(mean), "plot_id").withColumns({c: F.col(c) - F.col(f"m_{c}") for c in XYZ}).select(*points.columns)
     axes = plot_extent(moved).select(
         "plot_id",
         *[(F.floor(F.col(f"min_{c}")) - step).alias(f"o_{c}") for c in XYZ],
         *[F.ceil((F.ceil(F.col(f"max_{c}")) + step - F.floor(F.col(f"min_{c}")) + step) / step).cast("long").alias(f"n_{c}") for c in XYZ],
     )
-    out = moved.join(axes, "plot_id")
+    out = moved.join(cut_lineage(axes), "plot_id")
     for c in XYZ:
         rel = F.col(c) - F.col(f"o_{c}")
         lo = F.greatest(F.floor((rel - size) / step), F.lit(0).cast("long"))
@@ -129,8 +129,8 @@ def voxel_medoid(points: DataFrame, length: float, flag: bool = False) -> DataFr
     near = vox.join(mid, keys).withColumn("_d", F.sqrt(d[0] * d[0] + d[1] * d[1] + d[2] * d[2]))
     w = Window.partitionBy(*keys).orderBy(half_even(F.col("_d"), 9), "point_id")
     if flag:
-        first = near.withColumn("_r", F.row_number().over(w)).filter("_r = 1").select("point_id", F.lit(True).alias("downsample"))
-        return points.join(first, "point_id", "left").withColumn("downsample", F.coalesce("downsample", F.lit(False)))
+        first = near.withColumn("_r", F.row_number().over(w)).filter("_r = 1").select("plot_id", "point_id", F.lit(True).alias("downsample"))
+        return points.join(first, ["plot_id", "point_id"], "left").withColumn("downsample", F.coalesce("downsample", F.lit(False)))
     return near.withColumn("_r", F.row_number().over(w)).filter("_r = 1").select(*points.columns)
 
 
@@ -143,7 +143,7 @@ def split_train_val_test(points: DataFrame) -> DataFrame:
         ((F.col("min_y") + F.col("max_y")) / 2.0).alias("_my"),
     )
     part = F.when(F.col("y") <= F.col("_my"), "train").when(F.col("x") <= F.col("_mx"), "validation").otherwise("test")
-    return points.join(box, "plot_id").withColumn("split", part).select(*points.columns, "split")
+    return points.join(cut_lineage(box), "plot_id").withColumn("split", part).select(*points.columns, "split")
 
 
 def sample_accuracy(samples: DataFrame) -> DataFrame:
@@ -169,7 +169,7 @@ def augment(samples: DataFrame, seed: int = 1, min_points: int = 1000, small_til
     ``box_cap``, which bounds the per-box rank used for point removal.
     """
     box_key = ["plot_id", "box_id"]
-    key = F.col("plot_id") * 1000003 + F.col("box_id")
+    key = F.pmod(F.xxhash64("plot_id", "box_id"), F.lit(2**31 - 1))
     facts = samples.groupBy(*box_key).agg(
         F.min(F.when(F.col("label") == 0, 0).otherwise(1)).alias("_no_ground"),
         F.min(F.when(F.col("label") == 2, 0).otherwise(1)).alias("_no_cwd"),

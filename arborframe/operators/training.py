@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from arborframe.lineage import cut_lineage
 from arborframe.operators.clean import STEM, VEGETATION
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -105,10 +106,10 @@ def ambiguous_band(stats: DataFrame, steps: int = 200, margin: float = 0.05) ->
 
 def drop_band(points: DataFrame, bands: DataFrame) -> DataFrame:
     """Points outside their plot's ambiguous band."""
-    out = points.join(bands, "plot_id")
+    out = points.join(cut_lineage(bands), "plot_id")
     return out.filter(~((F.col("z") >= F.col("band_lo")) & (F.col("z") <= F.col("band_hi")))).select(*points.columns)
 
 
 def dropped_ratio(points: DataFrame, bands: DataFrame) -> DataFrame:
     inside = ((F.col("z") >= F.col("band_lo")) & (F.col("z") <= F.col("band_hi"))).cast("double")
-    return points.join(bands, "plot_id").groupBy("plot_id").agg(F.avg(inside).alias("dropped_ratio"))
+    return points.join(cut_lineage(bands), "plot_id").groupBy("plot_id").agg(F.avg(inside).alias("dropped_ratio"))

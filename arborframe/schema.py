@@ -16,7 +16,7 @@ DIMENSION_TYPES: dict[str, T.DataType] = {
     "x": _D, "y": _D, "z": _D,
     "intensity": _I, "return_number": _I, "number_of_returns": _I, "gps_time": _D, "classification": _I,
     "red": _I, "green": _I, "blue": _I,
-    "ring": T.ShortType(), "range": _F, "label": T.ShortType(), "cci": T.ShortType(), "tree_id": T.ShortType(),
+    "ring": T.ShortType(), "range": _F, "label": T.ShortType(), "cci": T.ShortType(), "tree_id": _I,
 }
 OTHER_DIMENSION = _F
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from arborframe.lineage import cut_lineage
 from arborframe.functions.numeric import half_even
 from arborframe.operators.clean import crop_circle
 from arborframe.operators.spatial import XY, radius_pairs
@@ -121,7 +122,7 @@ def merge_clouds(full: DataFrame, tree_cloud: DataFrame, dtm: DataFrame) -> Data
     mean = full.groupBy("plot_id").agg(F.avg("gps_time").alias("_gps"))
 
     def timed(df: DataFrame) -> DataFrame:
-        return df.drop("gps_time").join(mean, "plot_id").withColumnRenamed("_gps", "gps_time")
+        return df.drop("gps_time").join(cut_lineage(mean), "plot_id").withColumnRenamed("_gps", "gps_time")
 
     trees = timed(tree_cloud).withColumn("classification", F.when(F.col("classification") == 0, 1).otherwise(F.col("classification")))
     nodes = timed(dtm).withColumn("classification", F.lit(CLASS_DTM))
