@@ -54,7 +54,9 @@ def mine_lexicon(rows: DataFrame) -> tuple[list[str], np.ndarray]:
     sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     a, b = sizes.get(1, 0) + 1.0, sizes.get(0, 0) + 1.0
     odds = F.log((F.col("pos") + 0.5) / a) - F.log((F.col("neg") + 0.5) / b)
-    top = table.filter("feature like 'w:%' or feature like 'p:%'").withColumn("odds", odds).filter("odds > 1")
+    # the lower bound of the log-odds, so that chance finds in a small sample stay out
+    odds = odds - 1.64 * F.sqrt(1 / (F.col("pos") + 0.5) + 1 / (F.col("neg") + 0.5))
+    top = table.filter("feature like 'w:%' or feature like 'p:%'").withColumn("odds", odds).filter("odds > 0.5")
     top = top.orderBy(F.desc(F.col("odds") * F.sqrt("pos")), "feature").limit(LEXICON).toPandas()
     names, values = list(top["feature"]), list(top["odds"])
     for word in INSULTS:
@@ -73,7 +75,7 @@ def votes(x: np.ndarray, names: list[str], log_odds: np.ndarray) -> np.ndarray:
     for v in range(LEXICON_VOTERS):
         own = np.flatnonzero((kinds == v % 2) & (np.arange(len(names)) // 2 % (LEXICON_VOTERS // 2) == v // 2))
         found = hit[:, own] @ log_odds[own]
-        out.append(np.where(found >= 4, 1, np.where(found <= 0, -1, 0)))
+        out.append(np.where(found >= 2, 1, np.where(found <= 0, -1, 0)))
     fixed = hit[:, [names.index(f"w:{w}") for w in INSULTS]].sum(axis=1)
     out.append(np.where(fixed >= 1, 1, 0))
     for name, level in (("s:A!!", 0.3), ("s:a!", 0.02), ("r:word", 0.3)):
@@ -118,7 +120,7 @@ def inputs(x: np.ndarray, names: list[str], log_odds: np.ndarray) -> np.ndarray:
     return np.concatenate([hit, np.log1p(sums), np.log1p(20 * rates), sums / np.sqrt(words)], axis=1)
 
 
-def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 3.0, rounds: int = 400) -> tuple[np.ndarray, float]:
+def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float, rounds: int = 400) -> tuple[np.ndarray, float]:
     """Weights and bias of an L2 penalised logistic regression on soft labels (accelerated gradient)."""
     z = np.concatenate([x, np.ones((len(x), 1))], axis=1).astype(np.float64)
     ridge = np.full(z.shape[1], penalty)
@@ -148,7 +150,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Toxic
         feats = inputs(x, names, log_odds)
         scale = 1 / (feats.std(axis=0) + 0.05)
         weight = np.where(y > 0, share * len(y) / y.sum(), (1 - share) * len(y) / (len(y) - y.sum()))
-        weights, bias = logistic(feats * scale, post, weight)
+        weights, bias = logistic(feats * scale, post, weight, penalty=max(0.1, len(y) / 2000))
     else:  # no labels of both kinds: the fixed list decides
         scale = np.ones(len(names) - 4 + 10)
         weights, bias = np.zeros(len(scale)), -3.0

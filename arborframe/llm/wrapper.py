@@ -135,12 +135,13 @@ KEY, PAGES, OPTIONAL, REPEATED, TEXT, LENGTH, LINKED, KIDS = range(8)
 
 def of_page(node: Node, in_link: bool = False) -> list:
     """The wrapper that describes exactly one page."""
-    own = " ".join(" ".join(k for k in node.kids if isinstance(k, str)).split())
+    own = own_text(node)
+    size = int(own.partition(":")[0]) if own else 0
     in_link = in_link or node.tag == "a"
     kids = fold([of_page(k, in_link) for k in node.kids if isinstance(k, Node) and k.tag not in ("head", "br")])
-    length = len(own) + sum(k[LENGTH] for k in kids)
-    linked = len(own) * in_link + sum(k[LINKED] for k in kids)
-    return [node.key, 1, False, False, f"{len(own)}:{xxhash.xxh64_hexdigest(own.encode('utf-8', 'surrogatepass'))}" if own else None, length, linked, kids]
+    length = size + sum(k[LENGTH] for k in kids)
+    linked = size * in_link + sum(k[LINKED] for k in kids)
+    return [node.key, 1, False, False, own, length, linked, kids]
 
 
 def merge_text(a: str | None, b: str | None) -> str | None:
@@ -200,11 +201,36 @@ def fold(kids: list) -> list:
     return kids
 
 
-def excluded_by_wrapper(known: list | None) -> bool:
+def own_text(node: Node) -> str | None:
+    """The mark of a node's own text that a wrapper keeps as long as the text is constant."""
+    own = " ".join(" ".join(k for k in node.kids if isinstance(k, str)).split())
+    return f"{len(own)}:{xxhash.xxh64_hexdigest(own.encode('utf-8', 'surrogatepass'))}" if own else None
+
+
+def places_of(known: list | None) -> dict[str, list[list]]:
+    """The places a wrapper node offers to children, by key."""
+    out: dict[str, list[list]] = {}
+    for k in known[KIDS] if known else ():
+        out.setdefault(k[KEY], []).append(k)
+    return out
+
+
+def place_of(kid: Node, places: dict[str, list[list]]) -> list | None:
+    """The place of a child: that with its constant text, else the first with its key."""
+    offered = places.get(kid.key)
+    if not offered:
+        return None
+    if len(offered) > 1:
+        text = own_text(kid)
+        return next((k for k in offered if k[TEXT] == text), next((k for k in offered if k[TEXT] == "*"), offered[0]))
+    return offered[0]
+
+
+def excluded_by_wrapper(kid: Node, known: list | None) -> bool:
     """A list of links, or a text that all pages of the host share word for word."""
     if known is None:
         return False
-    if known[REPEATED] is False and known[PAGES] >= CONSTANT_PAGES and not known[KIDS] and known[TEXT] not in (None, "*"):
+    if kid.tag in BLOCKS and not known[REPEATED] and known[PAGES] >= CONSTANT_PAGES and not known[KIDS] and known[TEXT] not in (None, "*") and known[TEXT] == own_text(kid):
         return True
     return known[LENGTH] > 0 and known[LINKED] / known[LENGTH] >= LINK_SHARE and known[KEY].split(".")[0] in ("ul", "ol", "div", "section", "p", "table", "td")
 
@@ -220,7 +246,7 @@ def blocks(node: Node, known: list | None, in_content: bool) -> list[str]:
         parts.clear()
 
     def walk(node: Node, known: list | None) -> None:
-        places = {k[KEY]: k for k in known[KIDS]} if known else {}
+        places = places_of(known)
         for kid in node.kids:
             if isinstance(kid, str):
                 parts.append(kid)
@@ -228,9 +254,9 @@ def blocks(node: Node, known: list | None, in_content: bool) -> list[str]:
             if kid.tag == "br":
                 parts.append(" ")
                 continue
-            own = places.get(kid.key)
+            own = place_of(kid, places)
             block = kid.tag in BLOCKS
-            if other_end(kid, in_content) or excluded_by_wrapper(own):
+            if other_end(kid, in_content) or excluded_by_wrapper(kid, own):
                 if block:
                     flush()
                 continue
@@ -250,14 +276,14 @@ def content_parts(root: Node, known: list | None) -> list[tuple[Node, list | Non
     found: dict[str, list] = {"article": [], "main": [], "marked": [], "wrapper": []}
 
     def walk(node: Node, known: list | None) -> None:
-        places = {k[KEY]: k for k in known[KIDS]} if known else {}
+        places = places_of(known)
         for kid in node.kids:
             if isinstance(kid, Node) and not other_end(kid, False):
                 kind = kid.tag if kid.tag in ("article", "main") else "marked" if kid.tag in ("div", "section") and CONTENT_WORDS.search(kid.marks) else None
                 if kind:
-                    found[kind].append((kid, places.get(kid.key)))
+                    found[kind].append((kid, place_of(kid, places)))
                 if kind != "article":
-                    walk(kid, places.get(kid.key))
+                    walk(kid, place_of(kid, places))
 
     walk(root, known)
     for kind in ("article", "main", "marked"):
