@@ -205,6 +205,8 @@ def with_next(docs: DataFrame) -> DataFrame:
                 line = ([held] if held else []) + known
                 held = line[-1]
                 done = _finished(*map(list, zip(*line[:-1])), [x[1] for x in line[1:]], [x[2] for x in line[1:]]) if len(line) > 1 else []
+                if not done:
+                    continue
                 frame = pd.DataFrame(done, columns=names)
                 frame.insert(0, "kind", "done")
                 frame.insert(1, "part", part)

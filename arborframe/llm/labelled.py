@@ -43,7 +43,8 @@ def feature_table(rows: DataFrame, prefixes: bool = True, least: int = 3) -> Dat
         for batch in batches:
             for text, y in zip(batch["text"], batch["label"]):
                 names = list(counts(text, prefixes))
-                yield pd.DataFrame({"feature": names, "pos": int(y), "neg": 1 - int(y)})
+                if names:
+                    yield pd.DataFrame({"feature": names, "pos": int(y), "neg": 1 - int(y)})
 
     found = rows.mapInPandas(spell, "feature string, pos long, neg long")
     return found.groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).filter(F.col("pos") + F.col("neg") >= least)

@@ -94,14 +94,16 @@ def label_model(ballots: np.ndarray, prior: float, rounds: int = 30) -> tuple[np
     post = np.where(ballots[:, -1] > 0, 0.9, np.where(ballots[:, -1] < 0, 0.1, prior))
     share, corr = np.ones(voters), np.eye(voters)
     centred = ballots - ballots.mean(axis=0)
-    for _ in range(rounds):
+    for k in range(rounds):
         table = np.stack([np.einsum("i,ivk->vk", w, one_hot) + 1.0 for w in (1 - post, post)])
         table /= table.sum(axis=2, keepdims=True)
         # correlation of voters given the class, over what the class means leave unexplained
         rest = ballots - ((1 - post)[:, None] * (table[0] @ [-1, 0, 1]) + post[:, None] * (table[1] @ [-1, 0, 1]))
         sd = np.sqrt((rest**2).mean(axis=0)) + 1e-6
         corr = (rest.T @ rest) / n / np.outer(sd, sd)
-        share = 1.0 / (1.0 + np.maximum(corr - np.eye(voters), 0).sum(axis=1))
+        if k == rounds // 2:  # from the settled independent model; discounting earlier would feed on its own doubt
+            share = 1.0 / (1.0 + np.maximum(corr - np.eye(voters), 0).sum(axis=1))
+            share[-1] = 1.0
         evidence = np.einsum("ivk,vk->iv", one_hot, np.log(table[1]) - np.log(table[0])) @ share
         post = 1 / (1 + np.exp(-np.clip(evidence + np.log(prior / (1 - prior)), -30, 30)))
     said = (ballots != 0) & (centred != 0)

@@ -143,10 +143,10 @@ def read_records(files: DataFrame, with_payload: bool = True) -> DataFrame:
                     part.append(record)
                     held += len(record[-1] or b"")
                     if len(part) >= 2000 or held > 16 << 20:
-                        yield pd.DataFrame(part, columns=names)
+                        yield pd.DataFrame(part, columns=names).astype({"payload_bytes": "Int64"})
                         part, held = [], 0
-                frame = pd.DataFrame(part, columns=names)
-                yield frame.astype({"payload_bytes": "Int64"})
+                if part:
+                    yield pd.DataFrame(part, columns=names).astype({"payload_bytes": "Int64"})
 
     return files.select("content").mapInPandas(walk, RECORD)
 

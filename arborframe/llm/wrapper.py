@@ -344,7 +344,8 @@ def wrappers(pages: DataFrame) -> DataFrame:
                     held[host] = join(held[host], new, True) if host in held else new
                     if len(held) >= HELD_HOSTS:
                         yield passed()
-        yield passed()
+        if held:
+            yield passed()
 
     def merge(group: pd.DataFrame) -> pd.DataFrame:
         found = None
