@@ -10,7 +10,8 @@ cosine in double precision; a pair counts in its least common filter only.
 The number of code words grows with the number of vectors so that a vector meets about
 ``meetings`` unrelated ones, whatever the table's size. The threshold gives a random vector
 ``lists`` filters on average; a pair at cosine 0.95 then shares about 0.6 * lists, so with the
-default fewer than one in 500 such pairs is missed. A filter held by many vectors is split into
+default few such pairs are missed; vectors that exceed fewer than ``FEWEST`` directions take
+their nearest ones. A filter held by many vectors is split into
 blocks, and block pairs are verified in separate tasks: nothing is capped.
 
 Defined results: vectors that are null, empty, zero, hold null or non-finite components, or
@@ -32,6 +33,8 @@ from arborframe.lineage import cut_lineage
 from arborframe.operators.graph import connected_components
 
 LEAST, LISTS, MEETINGS, SEED = 0.95, 20.0, 150.0, 7
+#: A vector beyond the reach of most directions still takes this many nearest filters.
+FEWEST = 16
 #: Members of a filter that one task compares; more are split into pairs of blocks.
 BLOCK = 2000
 
@@ -75,6 +78,18 @@ def decode(x: np.ndarray, words: list[np.ndarray], least: float) -> list[np.ndar
     return out
 
 
+def nearest(x: np.ndarray, words: list[np.ndarray], fewest: int) -> list[np.ndarray]:
+    """Per unit vector the ``fewest`` filters of largest inner product, ascending by number."""
+    cut, many = words[0].shape[1], len(words[1])
+    a, b = x[:, :cut] @ words[0].T, x[:, cut:] @ words[1].T
+    k = min(fewest, a.shape[1], many)  # the best sums join the best k words of each block
+    first, second = np.argsort(-a, axis=1, kind="stable")[:, :k], np.argsort(-b, axis=1, kind="stable")[:, :k]
+    sums = np.take_along_axis(a, first, 1)[:, :, None] + np.take_along_axis(b, second, 1)[:, None, :]
+    best = np.argsort(-sums.reshape(len(x), -1), axis=1, kind="stable")[:, :fewest]
+    numbers = (first.astype(np.int64)[:, :, None] * many + second[:, None, :]).reshape(len(x), -1)
+    return list(np.sort(np.take_along_axis(numbers, best, 1), axis=1))
+
+
 def pairs_in(x: np.ndarray, side: np.ndarray, cross: bool, least: float) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs i < j (or of different sides) with cosine >= least, in double precision."""
     norm = np.sqrt((x * x).sum(axis=1))
@@ -163,7 +178,11 @@ def filtered(distinct: DataFrame, lists: float, meetings: float) -> DataFrame:
                 x = np.stack(batch["vector"].to_numpy()).astype(np.float64)
                 x /= np.abs(x).max(axis=1, keepdims=True)
                 x /= np.linalg.norm(x, axis=1, keepdims=True)
-                yield batch.assign(filters=decode(x, words, least))
+                found = decode(x, words, least)
+                thin = [i for i, f in enumerate(found) if len(f) < FEWEST]
+                for i, f in zip(thin, nearest(x[thin], words, FEWEST) if thin else []):
+                    found[i] = f
+                yield batch.assign(filters=found)
 
     kind = distinct.schema["vector"].dataType.simpleString()
     return distinct.select("row", "weight", "vector").mapInPandas(find, f"row long, weight long, vector {kind}, filters array<long>")
