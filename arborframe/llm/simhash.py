@@ -221,7 +221,11 @@ def near_duplicates(docs: DataFrame, size: int = 4, max_bits: int = 4) -> DataFr
 def keep_first(docs: DataFrame, size: int = 4, max_bits: int = 4) -> DataFrame:
     """One row of docs per group: that with the smallest doc_id, then the smallest text hash.
     All columns are kept; among rows that repeat id and text one is kept."""
-    rows, classes = _grouped(docs, size, max_bits)
+    return first_rows(docs, *_grouped(docs, size, max_bits))
+
+
+def first_rows(docs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows of docs that ``keep_first`` keeps, from rows(doc_id, text_hash, fp) and classes(fp, component)."""
     ident = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).cast("long").alias("id"), F.col("text_hash").alias("hash"))
     first = rows.groupBy("fp").agg(F.min(ident).alias("_first")).join(classes, "fp").groupBy("component").agg(F.min("_first").alias("_first"))
     chosen = first.select(F.col("_first.none").alias("_none"), F.col("_first.id").alias("_id"), F.col("_first.hash").alias("_hash")).distinct()
