@@ -10,13 +10,14 @@ partial wrappers of a host are merged in two steps, so a host with many pages is
 gathered page by page.
 
 A page is then read along its host's wrapper. Text counts when it stands in the content
-part (article, main, else what the wrapper shows to hold the most slot text) and not in an
-element for other ends (by name or class), a list of links, or a text the wrapper found
-constant over at least ``CONSTANT_PAGES`` pages.
+part (all articles, else the first main, else the first block with a content class, else what the wrapper shows to hold the most slot text) and not in an element for other
+ends (by name or class) or a list of links. Where no element marks the content part, a text
+that the wrapper found constant over at least ``CONSTANT_PAGES`` different pages is left out
+too, if other texts of the host vary.
 
 Defined results: null or empty html has the text ""; broken markup is read as far as it goes
 (an unclosed element ends with its parent); a page without a host uses the wrapper of its
-kind; rows that repeat a page count as pages; an empty table gives no rows. Texts keep all
+kind; rows that repeat a page of a host count once; an empty table gives no rows. Texts keep all
 blocks in order; nothing is capped.
 """
 
@@ -39,6 +40,8 @@ CONSTANT_PAGES = 5
 #: Hosts a task holds at once while it aligns; then their partial wrappers are passed on.
 HELD_HOSTS = 2000
 SALTS = 32
+#: Largest table of page hashes that is broadcast; beyond it the same join is shuffled.
+BROADCAST_ROWS = 1_000_000
 #: Share of text in links from which a wrapper node is a menu.
 LINK_SHARE = 0.8
 
@@ -226,17 +229,22 @@ def place_of(kid: Node, places: dict[str, list[list]]) -> list | None:
     return offered[0]
 
 
-def excluded_by_wrapper(kid: Node, known: list | None) -> bool:
-    """A list of links, or a text that all pages of the host share word for word."""
+def varies(known: list | None) -> bool:
+    """Whether a wrapper has a text that differs between the copies or pages it stands for."""
+    return known is not None and (known[TEXT] == "*" or any(map(varies, known[KIDS])))
+
+
+def excluded_by_wrapper(kid: Node, known: list | None, constant: bool) -> bool:
+    """A list of links, or, with ``constant``, a text that all pages of the host share word for word."""
     if known is None:
         return False
-    if kid.tag in BLOCKS and not known[REPEATED] and known[PAGES] >= CONSTANT_PAGES and not known[KIDS] and known[TEXT] not in (None, "*") and known[TEXT] == own_text(kid):
+    if constant and kid.tag in BLOCKS and not known[REPEATED] and known[PAGES] >= CONSTANT_PAGES and not known[KIDS] and known[TEXT] not in (None, "*") and known[TEXT] == own_text(kid):
         return True
     return known[LENGTH] > 0 and known[LINKED] / known[LENGTH] >= LINK_SHARE and known[KEY].split(".")[0] in ("ul", "ol", "div", "section", "p", "table", "td")
 
 
-def blocks(node: Node, known: list | None, in_content: bool) -> list[str]:
-    """Text blocks below a node in page order."""
+def blocks(node: Node, known: list | None, in_content: bool, constant: bool) -> list[str]:
+    """Text blocks below a node in page order; ``constant``: without texts that all pages share."""
     out, parts = [], []
 
     def flush() -> None:
@@ -256,7 +264,7 @@ def blocks(node: Node, known: list | None, in_content: bool) -> list[str]:
                 continue
             own = place_of(kid, places)
             block = kid.tag in BLOCKS
-            if other_end(kid, in_content) or excluded_by_wrapper(kid, own):
+            if other_end(kid, in_content) or excluded_by_wrapper(kid, own, constant):
                 if block:
                     flush()
                 continue
@@ -271,24 +279,26 @@ def blocks(node: Node, known: list | None, in_content: bool) -> list[str]:
     return out
 
 
-def content_parts(root: Node, known: list | None) -> list[tuple[Node, list | None]]:
-    """The elements that hold the main text, with their places in the wrapper."""
-    found: dict[str, list] = {"article": [], "main": [], "marked": [], "wrapper": []}
+def content_parts(root: Node, known: list | None) -> list[tuple[Node, list | None, bool]]:
+    """The elements that hold the main text, with their places in the wrapper and whether the
+    page marks them as content."""
+    found: dict[str, list] = {"article": [], "main": [], "marked": []}
 
-    def walk(node: Node, known: list | None) -> None:
+    def walk(node: Node, known: list | None, inside: frozenset) -> None:
         places = places_of(known)
         for kid in node.kids:
             if isinstance(kid, Node) and not other_end(kid, False):
                 kind = kid.tag if kid.tag in ("article", "main") else "marked" if kid.tag in ("div", "section") and CONTENT_WORDS.search(kid.marks) else None
-                if kind:
-                    found[kind].append((kid, place_of(kid, places)))
+                own = place_of(kid, places)
+                if kind and kind not in inside:
+                    found[kind].append((kid, own, True))
                 if kind != "article":
-                    walk(kid, place_of(kid, places))
+                    walk(kid, own, inside | {kind})
 
-    walk(root, known)
-    for kind in ("article", "main", "marked"):
-        if found[kind]:
-            return found[kind] if kind == "article" else found[kind][:1]
+    walk(root, known, frozenset())
+    for kind, parts in found.items():
+        if parts:
+            return parts if kind == "article" else parts[:1]
     body = next((k for k in _elements(root) if k.tag == "body"), root)
     place = known
     for key in ("html", "body"):
@@ -301,7 +311,7 @@ def content_parts(root: Node, known: list | None) -> list[tuple[Node, list | Non
         if best is None or len(here) != 1 or best[KEY].split(".")[0] not in ("div", "section", "td", "table", "tr", "tbody") or best[LENGTH] - best[LINKED] < 0.7 * (place[LENGTH] - place[LINKED]):
             break
         node, place = here[0], best
-    return [(node, place)]
+    return [(node, place, False)]
 
 
 def _elements(node: Node) -> Iterator[Node]:
@@ -316,9 +326,11 @@ def main_text(page: str | None, known: list | None) -> str:
     if not page:
         return ""
     root = parse(page)
-    parts = [b for node, place in content_parts(root, known) for b in blocks(node, place, True)]
+    found = content_parts(root, known)
+    constant = not found[0][2] and varies(known)
+    parts = [b for node, place, _ in found for b in blocks(node, place, True, constant)]
     if not parts:
-        parts = blocks(root, known, False)
+        parts = blocks(root, known, False, varies(known))
     return "\n\n".join(parts)
 
 
@@ -327,7 +339,7 @@ def host_of(url):
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """(host, wrapper as text) inferred from all pages of pages(url, html)."""
+    """(host, wrapper as text) inferred from all different pages of pages(url, html)."""
 
     def infer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[str, list] = {}
@@ -353,7 +365,13 @@ def wrappers(pages: DataFrame) -> DataFrame:
             found = json.loads(text) if found is None else join(found, json.loads(text), True)
         return pd.DataFrame({"host": [group["host"].iloc[0]], "wrapper": [json.dumps(found)]})
 
-    partial = pages.select(host_of(F.col("url")).alias("host"), "html").mapInPandas(infer, "host string, wrapper string")
+    keyed = pages.select(host_of(F.col("url")).alias("host"), "html").withColumn("h", F.xxhash64("html"))
+    twice = cut_lineage(keyed.groupBy("host", "h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("host", "h"))
+    marked = F.broadcast(twice) if twice.count() <= BROADCAST_ROWS else twice
+    # only pages that are there twice are shuffled as texts
+    once = keyed.join(marked, ["host", "h"], "left_anti").select("host", "html")
+    once = once.unionByName(keyed.join(marked, ["host", "h"], "left_semi").dropDuplicates(["host", "h"]).select("host", "html"))
+    partial = once.mapInPandas(infer, "host string, wrapper string")
     salted = partial.withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(SALTS))).groupBy("host", "salt").applyInPandas(lambda g: merge(g), "host string, wrapper string")
     return salted.groupBy("host").applyInPandas(lambda g: merge(g), "host string, wrapper string")
 

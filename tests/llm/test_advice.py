@@ -4,7 +4,7 @@ import random
 
 import corpus_pipeline
 
-from arborframe.llm import jaccard, simhash
+from arborframe.llm import jaccard, simhash, wrapper
 
 WORDS = [f"w{i}" for i in range(400)]
 
@@ -43,3 +43,28 @@ def test_near_dedup_keeps_one_of_every_similar_group(spark):
     assert kept == set(label)
     assert len(kept) < simhash.keep_first(docs).count()
     assert jaccard.keep_first(docs.limit(0)).count() == 0
+
+
+def extracted(spark, pages):
+    rows = wrapper.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    return {r.page_id: r.text for r in rows}
+
+
+def test_copies_of_a_page_keep_their_text(spark):
+    article = "<body><article><h1>Title</h1><p>Text of the page</p></article>"
+    plain = "<body><div><h1>Title</h1><p>Text of the page</p></div>"
+    pages = [(k, f"http://a/{k}", article) for k in range(7)] + [(k, f"http://b/{k}", plain) for k in range(10, 17)]
+    pages += [(k, f"http://c/{k}", f"{plain}<!-- {k} -->") for k in range(20, 27)]
+    assert set(extracted(spark, pages).values()) == {"Title\n\nText of the page"}
+
+
+def test_constant_headings_of_articles_stay(spark):
+    page = "<body><article><h1>Title {k}</h1><h2>Summary</h2><p>Text {k}</p></article>"
+    texts = extracted(spark, [(k, f"http://a/{k}", page.format(k=k)) for k in range(7)])
+    assert texts == {k: f"Title {k}\n\nSummary\n\nText {k}" for k in range(7)}
+
+
+def test_constant_texts_of_unmarked_pages_go(spark):
+    page = "<body><div><h1>Title {k}</h1><p>Follow us</p><blockquote>Text {k}</blockquote></div>"
+    texts = extracted(spark, [(k, f"http://a/{k}", page.format(k=k)) for k in range(7)])
+    assert all("Follow us" not in t and t.startswith(f"Title {k}\n\nText {k}") for k, t in texts.items())
