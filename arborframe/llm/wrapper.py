@@ -10,7 +10,8 @@ partial wrappers of a host are merged in two steps, so a host with many pages is
 gathered page by page.
 
 A page is then read along its host's wrapper. Text counts when it stands in the content
-part (all articles, else the first main, else the first block with a content class, else what the wrapper shows to hold the most slot text) and not in an element for other
+part (all articles, else all outermost main elements, else all outermost blocks with a content
+class, else what the wrapper shows to hold the most slot text) and not in an element for other
 ends (by name or class) or a list of links. Where no element marks the content part, a text
 that the wrapper found constant over at least ``CONSTANT_PAGES`` different pages is left out
 too, if other texts of the host vary.
@@ -296,9 +297,9 @@ def content_parts(root: Node, known: list | None) -> list[tuple[Node, list | Non
                     walk(kid, own, inside | {kind})
 
     walk(root, known, frozenset())
-    for kind, parts in found.items():
+    for parts in found.values():
         if parts:
-            return parts if kind == "article" else parts[:1]
+            return [p for p in parts if not excluded_by_wrapper(p[0], p[1], False)] or parts
     body = next((k for k in _elements(root) if k.tag == "body"), root)
     place = known
     for key in ("html", "body"):

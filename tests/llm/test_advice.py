@@ -68,3 +68,11 @@ def test_constant_texts_of_unmarked_pages_go(spark):
     page = "<body><div><h1>Title {k}</h1><p>Follow us</p><blockquote>Text {k}</blockquote></div>"
     texts = extracted(spark, [(k, f"http://a/{k}", page.format(k=k)) for k in range(7)])
     assert all("Follow us" not in t and t.startswith(f"Title {k}\n\nText {k}") for k, t in texts.items())
+
+
+def test_all_sibling_content_blocks_are_kept(spark):
+    page = "<body><div class=post-content><p>First {k}</p><div class=entry><p>Inner {k}</p></div></div><section class=story><p>Second {k}</p></section><div class=promo>x</div>"
+    pages = [(k, f"http://a/{k}", page.format(k=k)) for k in range(3)]
+    pages += [(9, "http://b/", "<body><div class=post><a href=/x>More news</a></div><div class=post-content><p>Story</p></div>")]
+    texts = extracted(spark, pages)
+    assert texts == {k: f"First {k}\n\nInner {k}\n\nSecond {k}" for k in range(3)} | {9: "Story"}
