@@ -37,7 +37,7 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = linededup.drop_repeated_lines(table(spark, sf_dir, "documents"), counted=True)
+    cleaned = linededup.drop_repeated_lines(table(spark, sf_dir, "documents"), min_words=1, counted=True)
     return cleaned.select("doc_id", "text", "n_lines", "n_dropped")
 
 

@@ -76,3 +76,9 @@ def test_all_sibling_content_blocks_are_kept(spark):
     pages += [(9, "http://b/", "<body><div class=post><a href=/x>More news</a></div><div class=post-content><p>Story</p></div>")]
     texts = extracted(spark, pages)
     assert texts == {k: f"First {k}\n\nInner {k}\n\nSecond {k}" for k in range(3)} | {9: "Story"}
+
+
+def test_short_lines_repeat_exactly(spark):
+    docs = spark.createDataFrame([(1, "Share this\nfirst body\n\nles."), (2, "share  this\nsecond body\n\nles.\nles"), (3, "les.\n\nLes.")], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, docs, "").collect()}
+    assert got == {1: "Share this\nfirst body\n\nles.", 2: "second body\n\nles", 3: ""}
