@@ -13,12 +13,18 @@ from arborframe.lineage import cut_lineage, release
 from arborframe.operators.spatial import XYZ, cell, radius_pairs
 
 
+#: A node of more edges than this is a hub; its edges are dealt to so many tasks.
+HUB_EDGES, SALTS = 500, 64
+
+
 def connected_components(edges: DataFrame, by: Sequence[str] = ("plot_id",)) -> DataFrame:
     """(by, node, component) for every node on an edge (columns u, v); component = smallest node.
 
-    Alternating large-star / small-star rounds. Every step is an aggregate with a
-    map-side minimum and one equi-join, so a hub node is a skewed key, not a group that
-    one task has to hold; rounds grow with the log of the graph's width.
+    Alternating large-star / small-star rounds; rounds grow with the log of the graph's
+    width. A hub's edges are never dealt by its id alone: a node's least neighbour is an
+    aggregate with a map-side part over (node, salt) first, the few rows of that per node
+    are merged and written, and the edges meet them dealt by (node, salt), where every
+    written minimum has one copy per salt of its node. Nodes of few edges have one salt.
     """
     by = list(by)
     u, v = F.col("u"), F.col("v")
@@ -29,19 +35,30 @@ def connected_components(edges: DataFrame, by: Sequence[str] = ("plot_id",)) ->
     def pairs(e: DataFrame, a, b) -> DataFrame:
         return e.select(*by, a.alias("u"), b.alias("v"))
 
+    def with_least(e: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(edges with the least neighbour m of their u, written table of u and m)."""
+        salted = F.pmod(F.xxhash64("v"), F.lit(SALTS))
+        part = e.groupBy(*by, "u", salted.alias("_salt")).agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("_n"))
+        low = cut_lineage(part.groupBy(*by, "u").agg(F.min("m").alias("m"), F.sum("_n").alias("_n")))
+        hubs = low.filter(F.col("_n") > HUB_EDGES)
+        if hubs.isEmpty():
+            return e.join(low.select(*by, "u", "m"), [*by, "u"]), low
+        few = e.join(low.filter(F.col("_n") <= HUB_EDGES).select(*by, "u", "m"), [*by, "u"])
+        copies = hubs.select(*by, "u", "m", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("_salt"))
+        many = e.withColumn("_salt", salted).join(copies, [*by, "u", "_salt"]).drop("_salt")
+        return few.unionByName(many), low
+
     work = cut_lineage(pairs(edges, F.greatest(u, v), F.least(u, v)).filter("u <> v").distinct())
     seen = state(work)
     while True:
-        both = work.unionByName(pairs(work, v, u))
-        low = both.groupBy(*by, "u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(low, [*by, "u"]).filter(v > u)
-        large = pairs(large, v, F.col("m")).filter("u <> v")
-        low = large.groupBy(*by, "u").agg(F.min("v").alias("m"))
-        linked = large.join(low, [*by, "u"])
-        small = pairs(linked, v, F.col("m")).filter("u <> v").unionByName(pairs(low, u, F.col("m")))
+        met, low = with_least(work.unionByName(pairs(work, v, u)))
+        large = met.filter(v > u).select(*by, v.alias("u"), F.least("m", "u").alias("v")).filter("u <> v")
+        large = cut_lineage(large)
+        linked, lower = with_least(large)
+        small = pairs(linked, v, F.col("m")).filter("u <> v").unionByName(pairs(lower, u, F.col("m")))
         small = pairs(small, F.greatest(u, v), F.least(u, v)).distinct()
         last, work = work, cut_lineage(small)
-        release(last)
+        release(last, low, large, lower)
         now = state(work)
         if now == seen:
             break

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from arborframe.functions import forestry as forest
 from arborframe.functions import geometry as geo
 from arborframe.functions.numeric import half_even
-from arborframe.operators.spatial import XY, XYZ, knn_join, nearest_within, radius_pairs
+from arborframe.operators.nearest import nearest_rows, nearest_within
+from arborframe.operators.spatial import XY, XYZ, radius_pairs
 
 TREE = ("plot_id", "tree_id")
 
@@ -153,10 +154,10 @@ def number_by_bearing(trees: DataFrame, accepted: Column) -> DataFrame:
 
 
 # ---------------------------------------------------------------- points to trees
-def label_vote(points: DataFrame, votes: DataFrame, k: int = 5, start_radius: float = 0.5) -> DataFrame:
+def label_vote(points: DataFrame, votes: DataFrame, k: int = 5) -> DataFrame:
     """Label = first largest of the class-wise median probabilities of the k nearest votes."""
     classes = [c for c in votes.columns if c.startswith("p") and c[1:].isdigit()]
-    near = knn_join(points, votes, k, "point_id", "vote_id", start_radius, take=classes)
+    near = nearest_rows(points, votes, k, "point_id", "vote_id", take=classes)
     # k conditional maxima per class keep the aggregate on primitive buffers
     slots = [F.max(F.when(F.col("rank") == r, F.col(c))).alias(f"_{c}_{r}") for c in classes for r in range(1, k + 1)]
     wide = near.groupBy("plot_id", "point_id").agg(*slots)

@@ -74,44 +74,6 @@ def radius_pairs(
     return pairs.filter(F.col("dist") <= radius if inclusive else F.col("dist") < radius)
 
 
-def nearest_within(
-    left: DataFrame,
-    right: DataFrame,
-    radius: float,
-    left_id: str,
-    right_id: str,
-    coords: Sequence[str] = XYZ,
-    by: Sequence[str] = ("plot_id",),
-    take: Sequence[str] = (),
-) -> DataFrame:
-    """Nearest right row within ``radius`` of every left row (null when none).
-
-    Two rings: a fine ring settles rows in crowded places, where most candidates
-    are close, and only rows it leaves open meet the full-radius cells. Output: the
-    left columns plus ``near_id``, ``near_dist`` and the right columns in ``take``.
-    """
-    right = one_per_position(right, coords, by, right_id, 1)
-    inner = radius / 4.0
-    key = [*by, left_id]
-    slim = left.select(*by, left_id, *coords)
-
-    def best(rows: DataFrame, r: float) -> DataFrame:
-        pairs = radius_pairs(rows, right, r, coords, by)
-        picked = F.struct(
-            F.col("dist").alias("near_dist"),
-            F.col(f"near.{right_id}").alias("near_id"),
-            *[F.col(f"near.{c}").alias(c) for c in take],
-        )
-        return pairs.groupBy(*key).agg(F.min(picked).alias("best"))
-
-    # read by two branches below, so it is written once instead of joined twice
-    close = cut_lineage(best(slim, inner))
-    still_open = slim.join(close.select(*key), key, "left_anti")
-    far = best(still_open, radius)
-    found = close.unionByName(far)
-    return left.join(found, key, "left").select(*left.columns, "best.near_id", "best.near_dist", *[F.col(f"best.{c}").alias(c) for c in take])
-
-
 def one_per_position(df: DataFrame, coords: Sequence[str], by: Sequence[str], row_id: str, keep: int) -> DataFrame:
     """At most ``keep`` rows (lowest ids) per exact position.
 

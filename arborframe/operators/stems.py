@@ -11,6 +11,7 @@ from arborframe.functions import geometry as geo
 from arborframe.functions.numeric import half_even, id_hash
 from arborframe.lineage import cut_lineage
 from arborframe.operators.graph import density_clusters
+from arborframe.operators.nearest import nearest_rows
 from arborframe.operators.spatial import XYZ, knn_join, radius_pairs
 
 SLICE = ("plot_id", "slice_id")
@@ -73,9 +74,9 @@ def slice_thresholds(slices: DataFrame, dtm: DataFrame, table: Sequence[int] = (
     return out.filter(F.col("n_points") > F.col("threshold"))
 
 
-def sor_filter(slices: DataFrame, k: int = 10, m: float = 0.5, start_radius: float = 0.05) -> DataFrame:
+def sor_filter(slices: DataFrame, k: int = 10, m: float = 0.5) -> DataFrame:
     """Statistical outlier removal per slice by the mean distance to the k nearest points."""
-    near = knn_join(slices, slices, k, "point_id", "point_id", start_radius, by=SLICE, exclude_self=True)
+    near = nearest_rows(slices, slices, k, "point_id", "point_id", by=SLICE, exclude_self=True)
     mean = near.groupBy(*SLICE, "point_id").agg(F.avg("near_dist").alias("_d"))
     mean = cut_lineage(mean)
     limit = mean.groupBy(*SLICE).agg((F.avg("_d") + m * F.stddev_pop("_d")).alias("_limit"))

@@ -16,9 +16,11 @@ D2 = "sqrt((p.x - c.x) * (p.x - c.x) + (p.y - c.y) * (p.y - c.y))"
 
 
 def nearest_sql(name: str, points: str, cyls: str, radius: float, flat: bool) -> str:
+    """Cylinders are copied to the cells around theirs, so the join is on plot and cell."""
     d = D2 if flat else D3
-    box = f"abs(p.x - c.x) <= {radius} AND abs(p.y - c.y) <= {radius}" + ("" if flat else f" AND abs(p.z - c.z) <= {radius}")
-    return f"""{name}_c AS (SELECT p.plot_id, p.point_id, c.tree_id, {d} AS d, c.cyl_id FROM {points} p JOIN {cyls} c ON p.plot_id = c.plot_id AND {box} AND {d} <= {radius}),
+    near = f"SELECT *, floor(x / {radius}) + dx AS cx, floor(y / {radius}) + dy AS cy FROM {cyls}, (SELECT unnest([-1, 0, 1]) AS dx), (SELECT unnest([-1, 0, 1]) AS dy)"
+    cells = f"p.plot_id = c.plot_id AND floor(p.x / {radius}) = c.cx AND floor(p.y / {radius}) = c.cy"
+    return f"""{name}_c AS (SELECT p.plot_id, p.point_id, c.tree_id, {d} AS d, c.cyl_id FROM {points} p JOIN ({near}) c ON {cells} AND {d} <= {radius}),
 {name} AS (SELECT plot_id, point_id, tree_id FROM {name}_c QUALIFY row_number() OVER (PARTITION BY point_id ORDER BY d, cyl_id) = 1)"""
 
 
@@ -80,7 +82,7 @@ SELECT plot_id, point_id, CAST(CASE greatest(a, b, c, d) WHEN a THEN 0 WHEN b TH
 
 @query("J1_label_vote", VOTE)
 def _(v):
-    return me.label_vote(v.points, v.votes, 5, 4.0)
+    return me.label_vote(v.points, v.votes, 5)
 
 
 EXP = "exp(p0 - g) + exp(p1 - g) + exp(p2 - g) + exp(p3 - g)"

@@ -63,7 +63,7 @@ m AS (SELECT plot_id, slice_id, point_id, avg(d) AS d FROM nn GROUP BY ALL),
 l AS (SELECT plot_id, slice_id, avg(d) + 0.5 * stddev_pop(d) AS lim FROM m GROUP BY ALL)
 SELECT plot_id, slice_id, point_id FROM sl ANTI JOIN (SELECT * FROM m JOIN l USING (plot_id, slice_id) WHERE d > lim) USING (plot_id, slice_id, point_id)""")
 def _(v):
-    return sm.sor_filter(slices(v), start_radius=0.1).select("plot_id", "slice_id", "point_id")
+    return sm.sor_filter(slices(v)).select("plot_id", "slice_id", "point_id")
 
 
 def components_sql(nodes: str, edges: str, keys: str) -> str:

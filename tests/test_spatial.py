@@ -7,7 +7,7 @@ import random
 import numpy as np
 import pytest
 
-from arborframe.operators import clean, field, graph, spatial, terrain, tiling
+from arborframe.operators import clean, field, graph, nearest, spatial, terrain, tiling
 
 ROW = "plot_id int, {} long, x double, y double, z double"
 
@@ -46,7 +46,7 @@ def test_knn_equals_brute_force(spark, k, same):
 
 def test_nearest_within_equals_brute_force(spark):
     left, right = cloud(150, 3), cloud(60, 4)
-    got = spatial.nearest_within(spark.createDataFrame(left, ROW.format("a")), spark.createDataFrame(right, ROW.format("b")), 0.8, "a", "b").collect()
+    got = nearest.nearest_within(spark.createDataFrame(left, ROW.format("a")), spark.createDataFrame(right, ROW.format("b")), 0.8, "a", "b").collect()
     assert len(got) == len(left)
     for r in got:
         near = sorted((dist((0, 0, r.x, r.y, r.z), q), q[1]) for q in right if q[0] == r.plot_id)
@@ -54,6 +54,42 @@ def test_nearest_within_equals_brute_force(spark):
         assert (r.near_id, r.near_dist and round(r.near_dist, 9)) == ((near[0][1], round(near[0][0], 9)) if near else (None, None))
 
 
+@pytest.mark.parametrize("k,same,within,coords", [(1, False, None, "xyz"), (4, False, None, "xyz"), (3, True, None, "xyz"), (2, False, 0.7, "xy"), (5, False, None, "xy")])
+def test_cell_index_equals_brute_force(spark, k, same, within, coords):
+    left = cloud(150, 1) + [(1, 900, -40.0, 7.0, 0.0), (2, 901, 0.0, 0.0, 0.0), (0, 902, None, 1.0, 1.0)]
+    right = left if same else [*cloud(200, 2, 0.6), (0, 903, 30.0, 30.0, 3.0), (3, 904, 0.0, 0.0, 0.0), (0, 905, 1.0, None, None)]
+    a, b = spark.createDataFrame(left, ROW.format("a")), spark.createDataFrame(right, ROW.format("b"))
+    got = nearest.nearest_rows(a, b, k, "a", "b", tuple(coords), within=within, exclude_self=same, take=("z",)).collect()
+    got = sorted((r.a, r["rank"], r.near_id, round(r.near_dist, 9)) for r in got)
+    want, used = [], range(2, 2 + len(coords))
+    known = lambda p: all(p[i] is not None for i in used)
+    for p in filter(known, left):
+        near = sorted((math.sqrt(sum((p[i] - q[i]) ** 2 for i in used)), q[1]) for q in right if q[0] == p[0] and known(q) and not (same and q[1] == p[1]))
+        near = [x for x in near if within is None or x[0] <= within][:k]
+        want += [(p[1], i + 1, j, round(d, 9)) for i, (d, j) in enumerate(near)]
+    assert got == sorted(want)
+
+
+def test_cell_index_of_empty_sides(spark):
+    some, none = spark.createDataFrame(cloud(5, 1), ROW.format("a")), spark.createDataFrame([], ROW.format("b"))
+    assert nearest.nearest_rows(some, none, 2, "a", "b").count() == 0
+    assert nearest.nearest_rows(none, some, 1, "b", "a", take=("x",)).columns == ["plot_id", "b", "near_id", "near_dist", "rank", "x"]
+    assert nearest.nearest_within(some, none, 1.0, "a", "b").filter("near_id IS NULL").count() == 5
+
+
+def test_candidates_do_not_grow_with_density(spark):
+    """Ten times the rows, half of them in a crowded corner: about as many candidates per row."""
+    rnd = np.random.default_rng(3)
+    per_row = []
+    for n in (1500, 15_000):
+        spots = np.concatenate([rnd.uniform(0, 10, (n // 2, 3)), rnd.uniform(0, 0.3, (n // 2, 3))])
+        right = spark.createDataFrame([(0, i, *map(float, p)) for i, p in enumerate(spots)], ROW.format("b"))
+        left = spark.createDataFrame([(0, i, *map(float, p)) for i, p in enumerate(rnd.uniform(0, 10, (400, 3)))], ROW.format("a"))
+        a, b = nearest.prepared(left, right, 5, "a", "b", spatial.XYZ, ["plot_id"], ())
+        per_row.append(nearest.candidates(a, b, 5, "a", "b", spatial.XYZ, ["plot_id"], None, ()).count() / 400)
+    assert per_row[1] < 1.5 * per_row[0] and per_row[1] < 150, per_row
+
+
 @pytest.mark.parametrize("parts", [1, 7])
 def test_components_do_not_depend_on_partitioning(spark, parts):
     rnd = random.Random(5)
@@ -67,6 +103,15 @@ def test_components_do_not_depend_on_partitioning(spark, parts):
     assert got == label
 
 
+@pytest.mark.parametrize("hub_edges", [5, 500])
+def test_components_of_stars_and_chains(spark, monkeypatch, hub_edges):
+    """A star of 3000 leaves whose centre is not its least node, hung on a chain."""
+    monkeypatch.setattr(graph, "HUB_EDGES", hub_edges)
+    edges = [(0, 2000, n) for n in range(1000, 4000)] + [(0, n, n + 1) for n in range(0, 40)] + [(0, 40, 1500), (1, 2000, 7), (1, 7, 7)]
+    got = {(r.plot_id, r.node): r.component for r in graph.connected_components(spark.createDataFrame(edges, "plot_id int, u long, v long")).collect()}
+    assert got == {**{(0, n): 0 for n in [*range(41), *range(1000, 4000)]}, (1, 2000): 7, (1, 7): 7}
+
+
 def brute_clusters(rows, eps, min_samples):
     near = {p[1]: [q[1] for q in rows if q[0] == p[0] and dist(p, q) <= eps] for p in rows}
     core = {i for i, n in near.items() if len(n) >= min_samples}
