@@ -3,6 +3,7 @@
 import random
 
 import corpus_pipeline
+import numpy as np
 
 from arborframe.llm import jaccard, simhash, wrapper
 
@@ -82,3 +83,16 @@ def test_short_lines_repeat_exactly(spark):
     docs = spark.createDataFrame([(1, "Share this\nfirst body\n\nles."), (2, "share  this\nsecond body\n\nles.\nles"), (3, "les.\n\nLes.")], "doc_id long, text string")
     got = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, docs, "").collect()}
     assert got == {1: "Share this\nfirst body\n\nles.", 2: "second body\n\nles", 3: ""}
+
+
+def test_parity_sketches_lose_no_similar_pair():
+    rng = np.random.default_rng(8)
+    for n in (1, 3, 40, 64, 65, 300, 5000):
+        for share in (0.0, 0.05, 0.11, 0.2, 1.0):
+            one = np.unique(rng.integers(-(2**62), 2**62, n))
+            keep = rng.random(len(one)) >= share
+            two = np.unique(np.concatenate([one[keep], rng.integers(-(2**62), 2**62, int(n * share * rng.random()))]))
+            both, either = len(np.intersect1d(one, two)), len(np.union1d(one, two))
+            room = jaccard.may_be_similar(jaccard.sketch(one), jaccard.sketch(two), len(one), len(two))
+            assert room or both * 5 < either * 4
+            assert n < 300 or share < 1.0 or not room
