@@ -47,7 +47,7 @@ def _(v):
     return ab.segment_parents(stacked(v))[0].withColumn("dist", half_even(F.col("dist"), 6))
 
 
-FAR = STACK + f""", rk AS (SELECT *, row_number() OVER (PARTITION BY plot_id, branch_id ORDER BY z, cyl_id) AS r, count(*) OVER (PARTITION BY plot_id, branch_id) AS n FROM cyl), e AS (SELECT * FROM rk WHERE r = 1 AND n >= 5 AND branch_id >= 50),
+FAR = STACK + f""", rk AS (SELECT *, row_number() OVER (PARTITION BY plot_id, branch_id ORDER BY z, cyl_id) AS r, count(*) OVER (PARTITION BY plot_id, branch_id) AS n FROM cyl), e AS (SELECT * FROM rk WHERE r = 1 AND n >= 5),
 pr AS (SELECT e.plot_id, e.branch_id, c.branch_id AS parent_branch_id, c.cyl_id AS parent_cyl_id, sqrt((c.x - e.x) * (c.x - e.x) + (c.y - e.y) * (c.y - e.y) + (c.z - e.z) * (c.z - e.z)) AS dist, {angle(('e.x - c.x', 'e.y - c.y', 'e.z - c.z'), ('e.nx', 'e.ny', 'e.nz'))} AS a
   FROM e JOIN cyl c ON e.plot_id = c.plot_id AND e.branch_id <> c.branch_id AND c.z < e.z - 0.1 AND abs(c.x - e.x) <= 1 AND abs(c.y - e.y) <= 1 AND c.z >= e.z - 1)
 SELECT plot_id, branch_id, 3 AS phase, parent_branch_id, parent_cyl_id, {even('dist', 6)} AS dist FROM pr WHERE dist <= 1 AND a < 120 QUALIFY row_number() OVER (PARTITION BY plot_id, branch_id ORDER BY dist, parent_cyl_id) = 1"""
@@ -56,7 +56,7 @@ SELECT plot_id, branch_id, 3 AS phase, parent_branch_id, parent_cyl_id, {even('d
 @query("J12_segment_parent_far", FAR)
 def _(v):
     cyl = stacked(v)
-    ends = ab.segment_ends(cyl).filter("branch_id >= 50")
+    ends = ab.segment_ends(cyl)
     return ab.far_parents(ends, cyl, 0.5).withColumn("dist", half_even(F.col("dist"), 6))
 
 

@@ -176,7 +176,8 @@ def _(v):
 # a stand-in alphabet: the real glyph grids are an input table
 GLYPH_SQL = """glyphs AS (SELECT ch, r AS row, c AS col FROM (SELECT chr(CAST(32 + i AS INT)) AS ch, i, r, unnest(range(0, 11)) AS c FROM (SELECT i, unnest(range(0, 11)) AS r FROM (SELECT unnest(range(0, 60)) AS i))) WHERE (i * 7 + r * 3 + c * 5) % 4 = 0)"""
 LABEL_SQL = """labels AS (SELECT plot_id, tree_id, text, tree_x AS x, tree_y - k * 0.025 AS y, dbh_bin - k * 0.025 AS z, dbh_taper / 1000.0 * 0.2 AS shift FROM (
-  SELECT *, unnest([-2, 1]) AS k, unnest([concat('     TREE ID: ', CAST(tree_number AS VARCHAR)), concat('   CCI AT BH: ', CAST(cci AS VARCHAR))]) AS text FROM (SELECT *, tree_id AS tree_number FROM trees)))"""
+  SELECT *, unnest([-2, 0, 1, 2, 3, 4]) AS k, unnest([concat('     TREE ID: ', tree_number), concat('        DIAM: ', dbh_taper, 'MM'), concat('   CCI AT BH: ', cci),
+    concat('      HEIGHT: ', height, 'M'), concat('      VOLUME 1: ', volume, 'M3'), concat('      VOLUME 2: ', volume_2, 'M3')]) AS text FROM (SELECT *, tree_id AS tree_number FROM trees)))"""
 
 
 def glyph_frame(v):
@@ -191,8 +192,7 @@ SELECT plot_id, tree_id, (i * 11 + g.col) * 0.00256 + x + 0.2 + 0.5 * shift AS p
 FROM chars c JOIN glyphs g ON g.ch = substr(text, CAST(i AS INT) + 1, 1)) GROUP BY plot_id, tree_id""")
 def _(v):
     trees = tree_frame(v).withColumn("tree_number", F.col("tree_id"))
-    labels = sh.label_lines(trees).filter(F.col("text").contains("TREE ID") | F.col("text").contains("CCI AT BH"))
-    pts = sh.annotate_points(labels, glyph_frame(v))
+    pts = sh.annotate_points(sh.label_lines(trees), glyph_frame(v))
     return pts.groupBy("plot_id", "tree_id").agg(
         r(F.avg("px")).alias("mean_x"), r(F.avg("py")).alias("mean_y"), r(F.avg("pz")).alias("mean_z"), F.count(F.lit(1)).alias("n")
     )
