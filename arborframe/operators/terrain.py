@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from arborframe.functions import geometry as geo
 from arborframe.functions.numeric import half_even
 from arborframe.lineage import cut_lineage
-from arborframe.operators.spatial import XY, knn_join, radius_pairs
+from arborframe.operators.nearest import nearest_rows
+from arborframe.operators.spatial import XY, radius_pairs
 
 MIN_HITS = 100
 TERRAIN_Q, ALL_POINTS_Q = 0.2, 0.025
@@ -172,36 +173,66 @@ def dem_map(points: DataFrame, dem: DataFrame, length: float = 0.5, how: str = "
 
 
 # ---------------------------------------------------------------- heights
+def lattice(dtm: DataFrame, resolution: float) -> DataFrame:
+    """Origin ``_o``, spacing ``_s`` per axis and plot, written: from the node indices gx, gy where
+    the grid has them, else from its least coordinates and ``resolution``."""
+    facts = []
+    for c in XY:
+        if f"g{c}" in dtm.columns:
+            wide = F.max(f"g{c}") - F.min(f"g{c}")
+            step = F.when(wide > 0, (F.max(c) - F.min(c)) / wide).otherwise(F.lit(float(resolution)))
+            facts += [(F.min(c) - F.min(f"g{c}") * step).alias(f"_o{c}"), step.alias(f"_s{c}")]
+        else:
+            facts += [F.min(c).alias(f"_o{c}"), F.lit(float(resolution)).alias(f"_s{c}")]
+    return cut_lineage(dtm.groupBy("plot_id").agg(*facts))
+
+
+def on_lattice(rows: DataFrame, facts: DataFrame) -> DataFrame:
+    """Rows with their place ``_px``, ``_py`` in units of the plot's grid (null without a grid)."""
+    return rows.join(facts, "plot_id", "left").withColumns({f"_p{c}": (F.col(c) - F.col(f"_o{c}")) / F.col(f"_s{c}") for c in XY}).drop("_ox", "_oy", "_sx", "_sy")
+
+
 def hag_nearest(points: DataFrame, dtm: DataFrame, resolution: float, row_id: str = "point_id") -> DataFrame:
-    """z above the nearest terrain node. Points whose rounded cell has a node join on
-    it; the others (outside a cropped grid) search outwards."""
-    near = [F.rint(F.col(c) / resolution).cast("long").alias(k) for c, k in zip(XY, ("_ix", "_iy"))]
-    grid = dtm.select("plot_id", *near, F.col("z").alias("_ground"))
-    placed = points.select("*", *near).join(grid, ["plot_id", "_ix", "_iy"], "left").drop("_ix", "_iy")
+    """z above the nearest terrain node. Points whose rounded place on the plot's own grid
+    (any origin and spacing) has a node join on it; the others, outside a cropped grid or
+    on nodes that form no grid, search by the cell index."""
+    facts = lattice(dtm, resolution)
+    near = {f"_i{c}": F.rint(f"_p{c}").cast("long") for c in XY}
+    nodes = on_lattice(dtm.select("plot_id", *XY, F.col("z").alias("_ground")), facts).withColumns(near)
+    off = F.greatest(*[F.abs(F.col(f"_p{c}") - F.col(f"_i{c}")) for c in XY])
+    loose = cut_lineage(nodes.groupBy("plot_id").agg(F.max(off).alias("_off")).filter("_off > 0.001").select("plot_id"))
+    grid = nodes.join(loose, "plot_id", "left_anti").groupBy("plot_id", "_ix", "_iy").agg(F.min("_ground").alias("_ground"))
+    placed = on_lattice(points, facts).withColumns(near).join(grid, ["plot_id", "_ix", "_iy"], "left").select(*points.columns, "_ground")
     hit = placed.filter(F.col("_ground").isNotNull())
-    nodes = dtm.select("plot_id", *XY, F.col("z").alias("_ground"), F.xxhash64("x", "y").alias("_node"))
     missed = placed.filter(F.col("_ground").isNull()).drop("_ground")
-    found = knn_join(missed, nodes, 1, row_id, "_node", 2 * resolution, XY, take=("_ground",)).select("plot_id", row_id, "_ground")
+    nodes = nodes.select("plot_id", *XY, "_ground", F.xxhash64("x", "y").alias("_node"))
+    found = nearest_rows(missed, nodes, 1, row_id, "_node", XY, take=("_ground",)).select("plot_id", row_id, "_ground")
     whole = hit.unionByName(missed.join(found, ["plot_id", row_id]))
     return whole.withColumn("hag", F.col("z") - F.col("_ground")).drop("_ground")
 
 
 def hag_linear(rows: DataFrame, dtm: DataFrame, resolution: float) -> DataFrame:
-    """z above the bilinear ground of the four surrounding nodes; the plot's median
-    ground height where a node is missing."""
-    fx, fy = F.col("x") / resolution, F.col("y") / resolution
-    base = rows.withColumns({"_ix": F.floor(fx), "_iy": F.floor(fy), "_tx": fx - F.floor(fx), "_ty": fy - F.floor(fy)})
-    node = dtm.select(
-        "plot_id", F.rint(F.col("x") / resolution).cast("long").alias("_ix"), F.rint(F.col("y") / resolution).cast("long").alias("_iy"), "z"
-    )
+    """z above the ground, linear on triangles of the plot's own grid.
+
+    A cell is split along the diagonal from its lower left node; where a node of that
+    diagonal is missing, along the other one. The plot's median ground height fills
+    triangles without all three nodes.
+    """
+    facts = lattice(dtm, resolution)
+    cell_of = {f"_i{c}": F.floor(f"_p{c}").cast("long") for c in XY}
+    base = on_lattice(rows, facts).withColumns(cell_of).withColumns({f"_t{c}": F.col(f"_p{c}") - F.col(f"_i{c}") for c in XY}).drop("_px", "_py")
+    node = on_lattice(dtm.select("plot_id", *XY, "z"), facts).select("plot_id", *[F.rint(f"_p{c}").cast("long").alias(f"_i{c}") for c in XY], "z")
     # one shuffle: each node is copied to the four cells it bounds
     corner = node.withColumn("_dx", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("_dy", F.explode(F.array(F.lit(0), F.lit(1))))
     cells = corner.groupBy("plot_id", (F.col("_ix") - F.col("_dx")).alias("_ix"), (F.col("_iy") - F.col("_dy")).alias("_iy")).agg(
         *[F.max(F.when((F.col("_dx") == a) & (F.col("_dy") == b), F.col("z"))).alias(f"_z{a}{b}") for a in (0, 1) for b in (0, 1)]
     )
     fill = dtm.groupBy("plot_id").agg(F.percentile("z", F.lit(0.5)).alias("_median"))
-    tx, ty = F.col("_tx"), F.col("_ty")
-    ground = (F.col("_z00") * (1 - tx) + F.col("_z10") * tx) * (1 - ty) + (F.col("_z01") * (1 - tx) + F.col("_z11") * tx) * ty
+    tx, ty, z00, z10, z01, z11 = (F.col(c) for c in ("_tx", "_ty", "_z00", "_z10", "_z01", "_z11"))
+    # the other diagonal only where the first one lacks a node
+    ground = F.when(z00.isNotNull() & z11.isNotNull(), F.when(tx >= ty, z00 + tx * (z10 - z00) + ty * (z11 - z10)).otherwise(z00 + ty * (z01 - z00) + tx * (z11 - z01))).otherwise(
+        F.when(tx + ty <= 1, z00 + tx * (z10 - z00) + ty * (z01 - z00)).otherwise(z11 + (1 - tx) * (z01 - z11) + (1 - ty) * (z10 - z11))
+    )
     out = base.join(cells, ["plot_id", "_ix", "_iy"], "left").join(fill, "plot_id", "left")
     return out.select(*rows.columns, (F.col("z") - F.coalesce(ground, F.col("_median"))).alias("hag"))
 

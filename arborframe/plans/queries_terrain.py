@@ -100,7 +100,7 @@ CORNERS = " ".join(
 
 
 @query("J3_hag_linear", fx("fx_cylinders", "fx_dtm").rstrip() + f""", med AS (SELECT plot_id, median(z) AS m FROM fx_dtm GROUP BY plot_id)
-SELECT c.plot_id, cyl_id, {even('c.z - coalesce((n00.z * (1 - tx) + n10.z * tx) * (1 - ty) + (n01.z * (1 - tx) + n11.z * tx) * ty, m)', 6)} AS hag
+SELECT c.plot_id, cyl_id, {even('c.z - coalesce(CASE WHEN n00.z IS NOT NULL AND n11.z IS NOT NULL THEN CASE WHEN tx >= ty THEN n00.z + tx * (n10.z - n00.z) + ty * (n11.z - n10.z) ELSE n00.z + ty * (n01.z - n00.z) + tx * (n11.z - n01.z) END WHEN tx + ty <= 1 THEN n00.z + tx * (n10.z - n00.z) + ty * (n01.z - n00.z) ELSE n11.z + (1 - tx) * (n01.z - n11.z) + (1 - ty) * (n10.z - n11.z) END, m)', 6)} AS hag
 FROM (SELECT *, x / 2 - floor(x / 2) AS tx, y / 2 - floor(y / 2) AS ty FROM fx_cylinders) c {CORNERS} LEFT JOIN med ON med.plot_id = c.plot_id""")
 def _(v):
     return te.hag_linear(v.cylinders, v.dtm, PLANE_STEP).select("plot_id", "cyl_id", half_even(F.col("hag"), 6).alias("hag"))

@@ -234,3 +234,43 @@ def test_ground_radius_with_few_points(spark):
     df = spark.createDataFrame(rows, ROW.format("point_id") + ", label int")
     z = {r.z for r in terrain.make_dtm(df, None, 1.0).collect()}
     assert len(z) == 1 and z.pop() == pytest.approx(np.percentile(range(30), 2.5))
+
+
+@pytest.mark.parametrize("indexed", [True, False])
+def test_heights_above_grids_of_any_origin_and_spacing(spark, indexed):
+    """Spacing 0.3 m from an origin off its multiples, a hole and points outside: the nearest node, and its triangle."""
+    rnd = random.Random(11)
+    nodes = [(0, i, j, 0.17 + 0.3 * i, -1.05 + 0.3 * j, round(rnd.uniform(0, 2), 3)) for i in range(8) for j in range(7) if (i, j) not in ((3, 3), (0, 0))]
+    grid = spark.createDataFrame(nodes, "plot_id int, gx long, gy long, x double, y double, z double")
+    grid = grid if indexed else grid.drop("gx", "gy")
+    points = [(0, k, rnd.uniform(-0.5, 3.0), rnd.uniform(-1.6, 1.4), 5.0) for k in range(300)]
+    cloud_ = spark.createDataFrame(points, ROW.format("point_id"))
+    got = {r.point_id: r.hag for r in terrain.hag_nearest(cloud_, grid, 0.3).collect()}
+    assert len(got) == 300
+    for _, k, x, y, z in points:
+        d, ground = min((math.hypot(x - n[3], y - n[4]), n[5]) for n in nodes)
+        assert got[k] == pytest.approx(z - ground)
+    height = {(n[1], n[2]): n[5] for n in nodes}
+    middle = float(np.median([n[5] for n in nodes]))
+    got = {r.point_id: r.hag for r in terrain.hag_linear(cloud_, grid, 0.3).collect()}
+    assert len(got) == 300
+    for _, k, x, y, z in points:
+        i, j = math.floor((x - 0.17) / 0.3), math.floor((y + 1.05) / 0.3)
+        tx, ty = (x - 0.17) / 0.3 - i, (y + 1.05) / 0.3 - j
+        corners = {(a, b): height.get((i + a, j + b)) for a in (0, 1) for b in (0, 1)}
+        main = corners[0, 0] is not None and corners[1, 1] is not None
+        used = [(0, 0), (1, 1), (1, 0) if tx >= ty else (0, 1)] if main else [(1, 0), (0, 1), (0, 0) if tx + ty <= 1 else (1, 1)]
+        if any(corners[c] is None for c in used):
+            ground = middle
+        else:
+            rows = np.array([[*c, 1.0] for c in used], dtype=float)
+            ground = float(np.linalg.solve(rows, np.array([corners[c] for c in used])) @ np.array([tx, ty, 1.0]))
+        assert got[k] == pytest.approx(z - ground)
+
+
+def test_heights_above_nodes_that_form_no_grid(spark):
+    rnd = random.Random(12)
+    nodes = [(0, i, round(rnd.uniform(0, 5), 2), round(rnd.uniform(0, 5), 2), float(i)) for i in range(40)]
+    points = [(0, k, rnd.uniform(0, 5), rnd.uniform(0, 5), 50.0) for k in range(100)] + [(3, 200, 1.0, 1.0, 1.0)]
+    got = {r.point_id: r.hag for r in terrain.hag_nearest(spark.createDataFrame(points, ROW.format("point_id")), spark.createDataFrame(nodes, ROW.format("node_id")), 1.0).collect()}
+    assert got == {k: pytest.approx(z - min((math.hypot(x - n[2], y - n[3]), n[4]) for n in nodes)[1]) for p, k, x, y, z in points if p == 0}
