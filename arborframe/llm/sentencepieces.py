@@ -206,6 +206,14 @@ class Pieces:
         return "".join(out)
 
 
+def held_pieces(model: str) -> Pieces:
+    """The worker process's vocabulary with its recent words, kept on the library's module: each task gets its own copy of this one."""
+    held = sentencepiece.__dict__.setdefault("_arborframe_pieces", {})
+    if model not in held:
+        held[model] = Pieces(model)
+    return held[model]
+
+
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
     for batch in batches:
         for at in range(0, batch.num_rows, SLICE):
@@ -219,7 +227,7 @@ def encoded(docs: DataFrame, model: str | None = None) -> DataFrame:
     types = [("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Pieces(model)
+        vocabulary = held_pieces(model)
         for keys, texts in slices(batches):
             yield table_of(list(zip(keys, vocabulary.encode_all(texts), strict=True)), types)
 
@@ -232,7 +240,7 @@ def decoded(tokens: DataFrame, model: str | None = None) -> DataFrame:
     types = [("doc_id", pa.int64()), ("text", pa.string())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Pieces(model)
+        vocabulary = held_pieces(model)
         for keys, ids in slices(batches):
             yield table_of([(k, vocabulary.decode(i)) for k, i in zip(keys, ids, strict=True)], types)
 
@@ -254,7 +262,7 @@ def round_trip(docs: DataFrame, model: str | None = None) -> DataFrame:
     types = [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()), ("agrees", pa.bool_())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Pieces(model)
+        vocabulary = held_pieces(model)
         digits = vocabulary.digits
         for keys, texts in slices(batches):
             ids = vocabulary.encode_all(texts)
