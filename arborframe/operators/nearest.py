@@ -38,6 +38,8 @@ WHOLE = 62
 MOST_LEVELS = 20
 #: Rows beyond which a cell is opened into its children, as a multiple of the neighbours wanted and at least.
 OPEN_TIMES, OPEN_LEAST = 2, 16
+#: Cells are opened until those still crowded add at most so many candidates per left row.
+EXTRA_EACH = 20
 #: A block of left rows is a cell so many levels below the one that holds enough right rows.
 BLOCK_BELOW = 2
 
@@ -81,7 +83,8 @@ class Grid:
         self.coords = list(coords)
         spans = right.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *[F.min(c).alias(f"lo_{c}") for c in coords], *[F.max(c).alias(f"hi_{c}") for c in coords])
         spans = spans.agg(F.sum("n").alias("n"), *[F.min(f"lo_{c}").alias(f"lo_{c}") for c in coords], *[F.max(F.col(f"hi_{c}") - F.col(f"lo_{c}")).alias(f"span_{c}") for c in coords]).first()
-        lows = left.agg(*[F.min(c).alias(c) for c in coords]).first()
+        lows = left.agg(F.count(F.lit(1)).alias("_rows"), *[F.min(c).alias(c) for c in coords]).first()
+        self.left_rows = lows["_rows"]
         self.empty = not spans.n or lows[coords[0]] is None
         if self.empty:
             return
@@ -133,7 +136,7 @@ def candidates(
     cells = cells.groupBy(*by, "r_level", *r_index).agg(F.sum("n").alias("n"), *boxes.merged("r"))
     cells = cut_lineage(cells.join(sizes, by))
 
-    spots = here.groupBy(*spot).agg(*boxes.around("a"))
+    spots = here.groupBy(*spot).agg(F.count(F.lit(1)).alias("a_n"), *boxes.around("a"))
     tall = spots.select(*spot, F.explode(every).alias("r_level"))
     tall = tall.select(*spot, "r_level", *[grid.above(f"s_c{i}", "r_level").alias(c) for i, c in enumerate(r_index)])
     full = cells.filter("n >= need").select(*by, "r_level", *r_index)
@@ -143,14 +146,14 @@ def candidates(
     spots = cut_lineage(spots.withColumns({c: grid.above(f"s_c{i}", F.when(F.col("a_level") == WHOLE, WHOLE).otherwise(finer)) for i, c in enumerate(a_index)}))
 
     block = [*by, "a_level", *a_index]
-    blocks = spots.groupBy(*block).agg(*boxes.merged("a"))
+    blocks = spots.groupBy(*block).agg(F.sum("a_n").alias("a_n"), *boxes.merged("a"))
     own_key = ["a_level", *r_index]
     inside = F.when(F.col("a_level") == WHOLE, 0).otherwise(F.least("a_level", F.lit(BLOCK_BELOW)))
     blocks = blocks.withColumns({c: grid.above(a, inside) for a, c in zip(a_index, r_index)})
     own = cells.withColumnRenamed("r_level", "a_level")
     limit = F.lit(float("inf") if within is None else float(within))
     held = F.when(F.col("n") >= F.col("need"), F.least(boxes.greatest("a", "r"), limit)).otherwise(limit)
-    blocks = blocks.join(own, [*by, *own_key], "left").select(*block, *boxes.of("a"), held.alias("reach"))
+    blocks = blocks.join(own, [*by, *own_key], "left").select(*block, "a_n", *boxes.of("a"), held.alias("reach"))
     slack = F.col("reach") * 1.000001 + 1e-9
 
     def edge(side: str, i: int, off: Column) -> Column:
@@ -164,18 +167,20 @@ def candidates(
     open_key, last = ["r_level", *r_index], None
     children = cells.filter(F.col("r_level") != WHOLE).withColumn("_up", F.when(F.col("r_level") == grid.top, WHOLE).otherwise(F.col("r_level") + 1))
     children = children.select(*by, "_up", *[grid.above(c, F.col("_up") - F.col("r_level")).alias(f"_u{i}") for i, c in enumerate(r_index)], *open_key, "n", "need", *boxes.of("r"))
-    while True:  # ends: every round opens cells one level down
-        pairs = cut_lineage(bounded(pairs.select(*block, *boxes.of("a"), "reach", *open_key, "n", "need", *boxes.of("r")), block, boxes))
+    while True:  # ends: every round opens cells one level down; when it ends decides the cost only
+        pairs = cut_lineage(bounded(pairs.select(*block, "a_n", *boxes.of("a"), "reach", *open_key, "n", "need", *boxes.of("r")), block, boxes))
         release(*([last] if last is not None else []))
+        wide = (F.col("n") > F.greatest(F.col("need") * OPEN_TIMES, F.lit(OPEN_LEAST))) & (F.col("r_level") > 0)
+        work = pairs.filter(wide).agg(F.sum(F.col("a_n") * F.col("n"))).first()[0]
+        if not work or work <= EXTRA_EACH * grid.left_rows:
+            settled.append(pairs)
+            break
         settled.append(pairs.filter("NOT busy"))
         busy = pairs.filter("busy")
-        if busy.isEmpty():
-            break
-        wide = (F.col("n") > F.greatest(F.col("need") * OPEN_TIMES, F.lit(OPEN_LEAST))) & (F.col("r_level") > 0)
-        opened = busy.filter(wide).select(*block, *boxes.of("a"), "reach", F.col("r_level").alias("_up"), *[F.col(c).alias(f"_u{i}") for i, c in enumerate(r_index)])
+        opened = busy.filter(wide).select(*block, "a_n", *boxes.of("a"), "reach", F.col("r_level").alias("_up"), *[F.col(c).alias(f"_u{i}") for i, c in enumerate(r_index)])
         opened = opened.join(children, [*by, "_up", *[f"_u{i}" for i in range(boxes.d)]])
         pairs = busy.filter(~wide).unionByName(opened, allowMissingColumns=True)
-    pairs = reduce(DataFrame.unionByName, settled).select(*block, "reach", *open_key, *boxes.of("r"))
+    pairs = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), settled).select(*block, "reach", *open_key, *boxes.of("r"))
     used = sorted(r.r_level for r in pairs.select("r_level").distinct().collect())  # at most MOST_LEVELS + 2
 
     rows = here.join(spots.select(*spot, "a_level", *a_index), spot).select(*by, left_id, *coords, "a_level", *a_index)
