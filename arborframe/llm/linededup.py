@@ -15,7 +15,8 @@ with another line are left out: one edit leaves one half as it was.
 Defined results: null text stays null, empty and blank texts and lines stay as they are, as
 do lines under ``min_words``; the same line twice in one text keeps the first; rows that
 repeat doc_id and text are one document and get the same result; a null doc_id counts as the
-largest. The text of a document is its kept lines in order; other columns are untouched.
+largest. The text of a document is its kept lines in order; other columns are untouched,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arborframe.lineage import cut_lineage, release
+from arborframe.llm.names import own_columns, spare
 
 MIN_WORDS, NEAR_WORDS = 4, 10
 #: Largest table of ids that is broadcast; beyond it the same join is shuffled.
@@ -158,15 +160,16 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int
 
 def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS, counted: bool = False) -> DataFrame:
     """docs with the text reduced to its kept lines; ``counted`` adds n_lines and n_dropped."""
-    gone = repeated_lines(docs, min_words, near_words).groupBy("id", "text_hash").agg(F.collect_set("pos").alias("_gone"))
-    gone = gone.select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), "_gone")
-    keyed = docs.withColumns({"_id": _ident(), "_hash": F.xxhash64("text")})
-    joined = keyed.join(gone, ["_id", "_hash"], "left")
+    ident, digest, places = spare(docs, "_id", "_hash", "_gone")
+    gone = repeated_lines(docs, min_words, near_words).groupBy("id", "text_hash").agg(F.collect_set("pos").alias(places))
+    gone = gone.select(F.col("id").alias(ident), F.col("text_hash").alias(digest), places)
+    keyed = docs.withColumns({ident: _ident(), digest: F.xxhash64("text")})
+    joined = keyed.join(gone, [ident, digest], "left")
     parts = F.split("text", "\n")
-    kept = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains("_gone", i)), "\n")
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept)
-    out = {c: F.col(c) for c in docs.columns} | {"text": text}
+    kept = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains(places, i)), "\n")
+    text = F.when(F.col(places).isNull(), F.col("text")).otherwise(kept)
+    out = dict(zip(docs.columns, own_columns(docs))) | {"text": text}
     if counted:
         out["n_lines"] = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(parts)).cast("long")
-        out["n_dropped"] = F.when(F.col("_gone").isNull(), F.lit(0)).otherwise(F.size("_gone")).cast("long")
+        out["n_dropped"] = F.when(F.col(places).isNull(), F.lit(0)).otherwise(F.size(places)).cast("long")
     return joined.select(*[c.alias(name) for name, c in out.items()])

@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arborframe.lineage import cut_lineage
+from arborframe.llm.names import own_columns, spare
 
 #: Weights of the sources in order, repeating; words asked for; most repeats.
 WEIGHTS, SHARE, REPEATS = (5, 2, 1), 1.5, 2
@@ -180,11 +181,12 @@ def mixed_documents(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """The mix as documents: every row of docs as often as it is taken, columns as they were."""
     drawn = draw(docs, seed)
     got = mix(drawn, seed).groupBy("row").agg(F.count(F.lit(1)).alias("times"))
-    key = {"_none": F.col("doc_id").isNull(), "_id": F.coalesce(F.col("doc_id"), F.lit(0)).cast("long")}
+    none, ident, digest, times, of, place, turn = spare(docs, "_none", "_id", "_hash", "_times", "_of", "_k", "_pass")
+    key = {none: F.col("doc_id").isNull(), ident: F.coalesce(F.col("doc_id"), F.lit(0)).cast("long")}
     # rows that repeat id, text and source share their draws evenly
-    times = drawn.drop("times").join(got, "row").withColumns(key).groupBy("_none", "_id", F.col("text_hash").alias("_hash")).agg(F.sum("times").alias("_times"))
-    keyed = docs.withColumns(key | {"_hash": F.xxhash64("text", "source")}).join(times, ["_none", "_id", "_hash"])
-    same = Window.partitionBy("_none", "_id", "_hash")
-    keyed = keyed.withColumns({"_of": F.count(F.lit(1)).over(same), "_k": F.row_number().over(same.orderBy(F.lit(0)))})
-    own = F.floor(F.col("_times") / F.col("_of")) + F.when(F.col("_k") <= F.col("_times") % F.col("_of"), 1).otherwise(0)
-    return keyed.withColumn("_pass", F.explode(F.sequence(F.lit(0), own.cast("int")))).filter(F.col("_pass") > 0).select(*docs.columns)
+    shared = drawn.drop("times").join(got, "row").withColumns(key).groupBy(none, ident, F.col("text_hash").alias(digest)).agg(F.sum("times").alias(times))
+    keyed = docs.withColumns(key | {digest: F.xxhash64("text", "source")}).join(shared, [none, ident, digest])
+    same = Window.partitionBy(none, ident, digest)
+    keyed = keyed.withColumns({of: F.count(F.lit(1)).over(same), place: F.row_number().over(same.orderBy(F.lit(0)))})
+    own = F.floor(F.col(times) / F.col(of)) + F.when(F.col(place) <= F.col(times) % F.col(of), 1).otherwise(0)
+    return keyed.withColumn(turn, F.explode(F.sequence(F.lit(0), own.cast("int")))).filter(F.col(turn) > 0).select(*own_columns(docs))

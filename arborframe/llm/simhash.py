@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arborframe.lineage import cut_lineage, release
+from arborframe.llm.names import own_columns, spare
 from arborframe.operators.graph import connected_components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -227,9 +228,11 @@ def keep_first(docs: DataFrame, size: int = 4, max_bits: int = 4) -> DataFrame:
 def first_rows(docs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
     """The rows of docs that ``keep_first`` keeps, from rows(doc_id, text_hash, fp) and classes(fp, component)."""
     ident = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).cast("long").alias("id"), F.col("text_hash").alias("hash"))
-    first = rows.groupBy("fp").agg(F.min(ident).alias("_first")).join(classes, "fp").groupBy("component").agg(F.min("_first").alias("_first"))
-    chosen = first.select(F.col("_first.none").alias("_none"), F.col("_first.id").alias("_id"), F.col("_first.hash").alias("_hash")).distinct()
-    keyed = docs.withColumns({"_none": F.col("doc_id").isNull(), "_id": F.coalesce("doc_id", F.lit(0)).cast("long"), "_hash": F.xxhash64("text")})
-    kept = keyed.join(chosen, ["_none", "_id", "_hash"], "left_semi")
-    order = Window.partitionBy("_none", "_id", "_hash").orderBy(F.lit(0))
-    return kept.withColumn("_row", F.row_number().over(order)).filter("_row = 1").select(*docs.columns)
+    first = rows.groupBy("fp").agg(F.min(ident).alias("first")).join(classes, "fp").groupBy("component").agg(F.min("first").alias("first"))
+    keys = spare(docs, "_none", "_id", "_hash")
+    chosen = first.select(*[F.col(f"first.{field}").alias(key) for field, key in zip(("none", "id", "hash"), keys)]).distinct()
+    keyed = docs.withColumns(dict(zip(keys, (F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0)).cast("long"), F.xxhash64("text")))))
+    kept = keyed.join(chosen, keys, "left_semi")
+    (place,) = spare(keyed, "_row")
+    order = Window.partitionBy(*keys).orderBy(F.lit(0))
+    return kept.withColumn(place, F.row_number().over(order)).filter(F.col(place) == 1).select(*own_columns(docs))

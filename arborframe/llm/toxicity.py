@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from arborframe.llm.features import Vocabulary
 from arborframe.llm.labelled import dense, feature_table, id_remainder, sample, vectors
+from arborframe.llm.names import own_columns, spare
 
 #: Common insults, the voter that needs no label.
 INSULTS = ("idiot", "moron", "stupid", "loser", "scum", "trash", "worthless", "pathetic", "disgusting", "clown")
@@ -190,4 +191,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) ->
 def drop_toxic(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
     """The rows of docs scored below the threshold, with their columns as they were."""
     model = fit(docs, training_labels(labels), per_class)
-    return score(docs, model, "_toxicity").filter(F.col("_toxicity") < THRESHOLD).drop("_toxicity")
+    (found,) = spare(docs, "_toxicity")
+    return score(docs, model, found).filter(F.col(found) < THRESHOLD).select(*own_columns(docs))

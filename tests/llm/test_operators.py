@@ -335,3 +335,19 @@ def test_classifiers_on_held_out_rows(labelled, run, label, held):
     tested = [(r.predicted, known[r.doc_id]) for r in rows if r.held_out and r.doc_id in known]
     assert np.mean([a == b for a, b in tested]) >= 0.9
     assert run(docs, labels.limit(0)).count() == docs.count() and run(docs.limit(0), labels).count() == 0
+
+
+def test_stages_leave_clashing_columns_alone(spark, labelled):
+    rng = random.Random(6)
+    names = ["_id", "_hash", "_none", "_row", "_gone", "_times", "_of", "_k", "_pass", "_toxicity", "__id", "id", "text_hash", "pos", "a.b", "n`c"]
+    texts = [prose(rng, 30) for _ in range(12)] + ["one\ntwo", "one\nthree", None, ""]
+    texts += texts[:3]
+    rows = [(i, t, "en", "ab"[i % 2], 0, *[f"{n}{i}" for n in names]) for i, t in enumerate(texts)]
+    schema = "doc_id long, text string, lang string, source string, n_chars int, " + ", ".join("`" + n.replace("`", "``") + "` string" for n in names)
+    docs = spark.createDataFrame(rows, schema)
+    docs_, labels = labelled
+    for stage in (linededup.drop_repeated_lines, simhash.keep_first, mixing.mixed_documents, lambda d: toxicity.drop_toxic(d, labels)):
+        out = stage(docs)
+        assert out.columns == docs.columns
+        got = out.collect()
+        assert got and all(tuple(r)[5:] == tuple(f"{n}{r.doc_id}" for n in names) for r in got)
