@@ -10,16 +10,20 @@ partial wrappers of a host are merged in two steps, so a host with many pages is
 gathered page by page.
 
 A page is then read along its host's wrapper. Text counts when it stands in the content
-part (all articles, else all outermost main elements, else all outermost blocks with a content
-class, else what the wrapper shows to hold the most slot text) and not in an element for other
-ends (by name or class) or a list of links. Where no element marks the content part, a text
+part (all articles that are not comments, teasers or adverts by class, else all outermost main
+elements, else all outermost blocks with a content class, else what the wrapper shows to hold
+the most slot text) and not in an element for other ends (by name or class) or a list of links.
+Some class words name furniture on one page and content on another (a menu of dishes, a heading
+on search): inside the content part the wrapper decides on them, and such an element stays
+unless it is a list of links or the host's pages share its text. Where no element marks the content part, a text
 that the wrapper found constant over at least ``CONSTANT_PAGES`` different pages is left out
 too, if other texts of the host vary.
 
 Defined results: null or empty html has the text ""; broken markup is read as far as it goes
 (an unclosed element ends with its parent); a page without a host uses the wrapper of its
 kind; rows that repeat a page of a host count once; an empty table gives no rows. Texts keep all
-blocks in order; nothing is capped.
+blocks in order; nothing is capped. A wrapper describes the ``DEPTH`` outer levels of a page;
+what is nested deeper is read by names and classes alone.
 """
 
 from __future__ import annotations
@@ -43,11 +47,15 @@ HELD_HOSTS = 2000
 SALTS = 32
 #: Largest table of page hashes that is broadcast; beyond it the same join is shuffled.
 BROADCAST_ROWS = 1_000_000
+#: Levels of elements a wrapper describes.
+DEPTH = 100
 #: Share of text in links from which a wrapper node is a menu.
 LINK_SHARE = 0.8
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']+|\"[^\"]*\"|'[^']*')*+)>|([^<]+|<)", re.S)
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+#: A slash at the end that belongs to a value without quotes, as in ``<a href=/>``.
+UNQUOTED_END = re.compile(r"=\s*[^\s\"'=]+\Z")
 # Fixed values of the markup language.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe svg".split())
@@ -58,9 +66,13 @@ CLOSES_P = BLOCKS - {"td", "th", "tr", "tbody", "thead", "tfoot", "caption", "ht
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 OTHER_ENDS = frozenset("nav footer aside form script style noscript template iframe svg button select input textarea dialog menu head title object canvas audio video".split())
 OTHER_WORDS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|sidebar|side-?bar|menu|nav|navbar|navigation|breadcrumbs?|cookies?|consent|notice|notification|alert|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|search|share|sharing|social|related|recommended|teaser|comments?|commentlist|respond|replies|reply|disqus|footer|header|masthead|topbar|toolbar|widget|pagination|pager|legal|copyright|disclaimer|tags?|toc)(?:$|[\s_-])",
+    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|sidebar|side-?bar|menu|nav|navbar|navigation|breadcrumbs?|cookies?|consent|notice|notification|alert|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|search|share|sharing|social|related|recommended|teaser|comments?|commentlist|respond|replies|reply|disqus|footer|header|masthead|topbar|toolbar|widget|pagination|pager|legal|copyright|disclaimer|tags?|toc)(?=$|[\s_-])",
     re.I,
 )
+# Words of OTHER_WORDS that also mark content inside an article.
+EITHER_WORDS = frozenset("menu search legal header".split())
+# First parts of the class words of articles that are no main text.
+OTHER_ARTICLES = frozenset("ad ads advert advertisement comment comments promo promoted recommended related reply replies respond response sponsored teaser widget".split())
 CONTENT_WORDS = re.compile(r"(?:^|[\s_-])(?:article|post|entry|content|main|story|body-?text|article-?body|post-?body)(?:$|[\s_-])", re.I)
 
 
@@ -110,7 +122,7 @@ def parse(page: str) -> Node:
             if tag in RAW:
                 end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
                 at = end.end() if end else len(page)
-            elif tag not in VOID and not attributes.endswith("/"):
+            elif tag not in VOID and not (attributes.endswith("/") and not UNQUOTED_END.search(attributes)):
                 stack.append(node)
     return root
 
@@ -125,11 +137,24 @@ def _close(stack: list[Node], tags: set[str], until: frozenset | set) -> None:
             return
 
 
-def other_end(node: Node, in_content: bool) -> bool:
+def other_article(node: Node) -> bool:
+    """Whether an article is a reader comment, a teaser or an advert by the first part of a class word."""
+    return node.tag == "article" and any(re.split(r"[-_]", w.lower())[0] in OTHER_ARTICLES for w in node.marks.split())
+
+
+def other_end(node: Node, in_content: bool, known: list | None = None) -> bool:
     """Whether an element serves another end than the main text, by its name or marks."""
     if node.hidden or node.tag in OTHER_ENDS or (node.tag == "header" and not in_content):
         return True
-    return bool(node.marks) and node.tag not in ("html", "body", "article", "main") and bool(OTHER_WORDS.search(node.marks))
+    if not node.marks or node.tag in ("html", "body", "main"):
+        return False
+    if node.tag == "article":
+        return other_article(node)
+    words = {w.strip(" \t\n\r\f-_").lower() for w in OTHER_WORDS.findall(node.marks)}
+    if not words or not (in_content and words <= EITHER_WORDS) or shared(known):
+        return bool(words)
+    length, linked = text_below(node, False)
+    return linked >= LINK_SHARE * length
 
 
 # A wrapper node is a list: [key, pages, optional, repeated, text, length, link length, children].
@@ -137,17 +162,31 @@ def other_end(node: Node, in_content: bool) -> bool:
 KEY, PAGES, OPTIONAL, REPEATED, TEXT, LENGTH, LINKED, KIDS = range(8)
 
 
-def of_page(node: Node, in_link: bool = False) -> list:
-    """The wrapper that describes exactly one page."""
+def of_page(node: Node, in_link: bool = False, depth: int = 0) -> list:
+    """The wrapper that describes exactly one page, down to ``DEPTH`` levels."""
     own = own_text(node)
     size = int(own.partition(":")[0]) if own else 0
     in_link = in_link or node.tag == "a"
-    kids = fold([of_page(k, in_link) for k in node.kids if isinstance(k, Node) and k.tag not in ("head", "br")])
+    if depth == DEPTH:
+        below, linked = text_below(node, in_link)
+        return [node.key, 1, False, False, own, below, linked, []]
+    kids = fold([of_page(k, in_link, depth + 1) for k in node.kids if isinstance(k, Node) and k.tag not in ("head", "br")])
     length = size + sum(k[LENGTH] for k in kids)
     linked = size * in_link + sum(k[LINKED] for k in kids)
     return [node.key, 1, False, False, own, length, linked, kids]
 
 
+def text_below(node: Node, in_link: bool) -> tuple[int, int]:
+    """Length of the text of an element and all below it, and how much of that is in links."""
+    length, linked, left = 0, 0, [(node, in_link)]
+    while left:
+        at, link = left.pop()
+        size = len(" ".join(" ".join(k for k in at.kids if isinstance(k, str)).split()))
+        length, linked = length + size, linked + size * link
+        left += [(k, link or k.tag == "a") for k in at.kids if isinstance(k, Node)]
+    return length, linked
+
+
 def merge_text(a: str | None, b: str | None) -> str | None:
     if a is None or b is None:
         return a or b
@@ -220,13 +259,15 @@ def places_of(known: list | None) -> dict[str, list[list]]:
 
 
 def place_of(kid: Node, places: dict[str, list[list]]) -> list | None:
-    """The place of a child: that with its constant text, else the first with its key."""
+    """The place of a child by its key: of several that with its constant text, else a slot, then the
+    one with most of its children's keys."""
     offered = places.get(kid.key)
     if not offered:
         return None
     if len(offered) > 1:
-        text = own_text(kid)
-        return next((k for k in offered if k[TEXT] == text), next((k for k in offered if k[TEXT] == "*"), offered[0]))
+        text, inner = own_text(kid), {k.key for k in kid.kids if isinstance(k, Node)}
+        alike = [k for k in offered if k[TEXT] == text] or [k for k in offered if k[TEXT] == "*"] or offered
+        return max(alike, key=lambda k: len(inner & {c[KEY] for c in k[KIDS]}))
     return offered[0]
 
 
@@ -235,6 +276,11 @@ def varies(known: list | None) -> bool:
     return known is not None and (known[TEXT] == "*" or any(map(varies, known[KIDS])))
 
 
+def shared(known: list | None) -> bool:
+    """Whether the text of a place is the same on all of ``CONSTANT_PAGES`` or more different pages."""
+    return known is not None and known[PAGES] >= CONSTANT_PAGES and not varies(known)
+
+
 def excluded_by_wrapper(kid: Node, known: list | None, constant: bool) -> bool:
     """A list of links, or, with ``constant``, a text that all pages of the host share word for word."""
     if known is None:
@@ -254,29 +300,26 @@ def blocks(node: Node, known: list | None, in_content: bool, constant: bool) ->
             out.append(text)
         parts.clear()
 
-    def walk(node: Node, known: list | None) -> None:
-        places = places_of(known)
-        for kid in node.kids:
-            if isinstance(kid, str):
-                parts.append(kid)
-                continue
-            if kid.tag == "br":
-                parts.append(" ")
-                continue
-            own = place_of(kid, places)
-            block = kid.tag in BLOCKS
-            if other_end(kid, in_content) or excluded_by_wrapper(kid, own, constant):
-                if block:
-                    flush()
-                continue
+    # open elements: children still to read, their places in the wrapper, whether a block ends here
+    opened = [(iter(node.kids), places_of(known), True)]
+    while opened:
+        kids, places, block = opened[-1]
+        kid = next(kids, None)
+        if kid is None:
+            opened.pop()
             if block:
                 flush()
-            walk(kid, own)
+        elif isinstance(kid, str):
+            parts.append(kid)
+        elif kid.tag == "br":
+            parts.append(" ")
+        else:
+            own = place_of(kid, places)
+            block = kid.tag in BLOCKS
             if block:
                 flush()
-
-    walk(node, known)
-    flush()
+            if not (other_end(kid, in_content, own) or excluded_by_wrapper(kid, own, constant)):
+                opened.append((iter(kid.kids), places_of(own), block))
     return out
 
 
@@ -284,19 +327,19 @@ def content_parts(root: Node, known: list | None) -> list[tuple[Node, list | Non
     """The elements that hold the main text, with their places in the wrapper and whether the
     page marks them as content."""
     found: dict[str, list] = {"article": [], "main": [], "marked": []}
-
-    def walk(node: Node, known: list | None, inside: frozenset) -> None:
-        places = places_of(known)
-        for kid in node.kids:
-            if isinstance(kid, Node) and not other_end(kid, False):
-                kind = kid.tag if kid.tag in ("article", "main") else "marked" if kid.tag in ("div", "section") and CONTENT_WORDS.search(kid.marks) else None
-                own = place_of(kid, places)
-                if kind and kind not in inside:
-                    found[kind].append((kid, own, True))
-                if kind != "article":
-                    walk(kid, own, inside | {kind})
-
-    walk(root, known, frozenset())
+    opened = [(iter(root.kids), places_of(known), frozenset())]
+    while opened:
+        kids, places, inside = opened[-1]
+        kid = next(kids, None)
+        if kid is None:
+            opened.pop()
+        elif isinstance(kid, Node) and not other_end(kid, False):
+            kind = kid.tag if kid.tag in ("article", "main") else "marked" if kid.tag in ("div", "section") and CONTENT_WORDS.search(kid.marks) else None
+            own = place_of(kid, places)
+            if kind and kind not in inside:
+                found[kind].append((kid, own, True))
+            if kind != "article":
+                opened.append((iter(kid.kids), places_of(own), inside | {kind}))
     for parts in found.values():
         if parts:
             return [p for p in parts if not excluded_by_wrapper(p[0], p[1], False)] or parts
@@ -316,10 +359,15 @@ def content_parts(root: Node, known: list | None) -> list[tuple[Node, list | Non
 
 
 def _elements(node: Node) -> Iterator[Node]:
-    for kid in node.kids:
-        if isinstance(kid, Node):
+    """All elements below a node in page order."""
+    opened = [iter(node.kids)]
+    while opened:
+        kid = next(opened[-1], None)
+        if kid is None:
+            opened.pop()
+        elif isinstance(kid, Node):
             yield kid
-            yield from _elements(kid)
+            opened.append(iter(kid.kids))
 
 
 def main_text(page: str | None, known: list | None) -> str:
@@ -332,6 +380,8 @@ def main_text(page: str | None, known: list | None) -> str:
     parts = [b for node, place, _ in found for b in blocks(node, place, True, constant)]
     if not parts:
         parts = blocks(root, known, False, varies(known))
+    if not parts:  # every article is marked as something else: those are all the page has
+        parts = [b for e in _elements(root) if other_article(e) for b in blocks(e, None, True, False)]
     return "\n\n".join(parts)
 
 

@@ -96,3 +96,35 @@ def test_parity_sketches_lose_no_similar_pair():
             room = jaccard.may_be_similar(jaccard.sketch(one), jaccard.sketch(two), len(one), len(two))
             assert room or both * 5 < either * 4
             assert n < 300 or share < 1.0 or not room
+
+
+def test_sibling_comments_and_teasers_go(spark):
+    post = "<article class=post><h1>T{k}</h1><p>main text {k}</p><article class=comment-body><p>inner {k}</p></article></article>"
+    others = "<article class='comment even'><p>reader {k}</p></article><article class=teaser><h2>Related</h2><p>promo {k}</p></article>"
+    pages = [(k, "http://a/", ("<body>" + post + others).format(k=k)) for k in range(3)]
+    pages += [(10, "http://b/", "<main><p>story</p><article class=comment>reader</article></main>"), (11, "http://c/", "<div><p>story</p></div><article id=comment-3>reader</article>")]
+    pages += [(12, "http://d/", "<body><article class='promo-story'><p>all there is</p></article>"), (13, "http://e/", "<article class='post tag-comment'><p>story</p></article>")]
+    assert extracted(spark, pages) == {k: f"T{k}\n\nmain text {k}" for k in range(3)} | {10: "story", 11: "story", 12: "all there is", 13: "story"}
+
+
+def test_class_words_with_two_meanings_are_decided_by_the_wrapper(spark):
+    page = "<article><div class=entry-header><h1>T{k}</h1></div><h2 class=search>On search {k}</h2><div class=menu><p>Soup {k}</p></div><p class=legal>Law {k}</p><div class='menu sidebar'>side {k}</div><div class=menu><a href=/>Home {k}</a></div><p class=ad>Buy {k}</p></article>"
+    want = "T{k}\n\nOn search {k}\n\nSoup {k}\n\nLaw {k}"
+    pages = [(k, "http://a/", page.format(k=k)) for k in range(6)] + [(9, "http://b/", page.format(k=9))]
+    assert extracted(spark, pages) == {p: want.format(k=p) for p in [*range(6), 9]}
+    fixed = "<article><p>Text {k}</p><div class=menu><p>Home About</p></div></article>"
+    assert extracted(spark, [(k, "http://a/", fixed.format(k=k)) for k in range(6)]) == {k: f"Text {k}" for k in range(6)}
+
+
+def test_deep_nesting_is_read(spark):
+    deep = "<div>" * 3000 + "<p>deep {k}</p>" + "</div>" * 1500 + "<p>less deep {k}</p><a href=/>x</a>"
+    pages = [(k, "http://a/", "<body><article>" + deep.format(k=k)) for k in range(3)] + [(k, "http://b/", "<body>" + deep.format(k=k)) for k in range(5, 8)]
+    pages += [(9, "http://c/", "<article>" + "<p>word " * 200_000)]
+    got = extracted(spark, pages)
+    assert {k: t for k, t in got.items() if k < 9} == {k: f"deep {k}\n\nless deep {k}\n\nx" for k in (0, 1, 2, 5, 6, 7)}
+    assert got[9].count("word") == 200_000
+
+
+def test_extraction_ignores_extra_columns(spark):
+    pages = spark.createDataFrame([(1, "http://a/", "<p>x", "t", "h", 3)], "page_id long, url string, html string, text string, host string, _host int")
+    assert [(r.page_id, r.text) for r in wrapper.extract(pages).collect()] == [(1, "x")]
