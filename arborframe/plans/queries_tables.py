@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from arborframe import params as pa
 from arborframe.functions.numeric import half_even
+from arborframe.lineage import cut_lineage, scratch_path
 from arborframe.operators import field as fi
 from arborframe.operators import report as rp
 from arborframe.operators import straightness as st
@@ -26,6 +27,27 @@ def _(v):
     return so.select_dims(v.points, ["x", "y", "z", "intensity", "Ring", "Range"])
 
 
+@query("S1_load_points_with_ids", P + "SELECT plot_id, count(*) AS n, count(*) AS n_ids, count(*) AS n_again, min(x) AS x_min, max(z) AS z_max FROM fx_points GROUP BY plot_id")
+def _(v):
+    # two readings of the written cloud agree point by point, also when the files are split elsewhere
+    path = scratch_path(v.spark)
+    so.write_by(v.points.select("plot_id", "x", "y", "z", "intensity"), path, "plot_id", rows_per_file=20_000)
+    headers = ["plot_id", "x", "y", "z", "intensity"]
+    cloud = so.load_points(v.spark, path, headers, ids=True)
+    again = so.load_points(v.spark, path, headers, ids=True).select("point_id", *[F.col(c).alias(f"{c}_2") for c in headers])
+    same = F.count_if((F.col("x") == F.col("x_2")) & (F.col("y") == F.col("y_2")) & (F.col("z") == F.col("z_2")) & (F.col("plot_id") == F.col("plot_id_2")))
+    facts = [F.count(F.lit(1)).alias("n"), F.count_distinct("point_id").alias("n_ids"), same.alias("n_again"), F.min("x").alias("x_min"), F.max("z").alias("z_max")]
+    return cloud.join(again, "point_id").withColumn("plot_id", F.col("plot_id").cast("int")).groupBy("plot_id").agg(*facts)
+
+
+@query("S2_save_points", P + "SELECT plot_id, point_id, x, y, z, intensity FROM fx_points")
+def _(v):
+    path = scratch_path(v.spark)
+    cloud = v.points.select("plot_id", "point_id", "x", "y", "z", "intensity")
+    so.save_points(cloud.withColumn("ring", F.lit(0)), path)
+    return so.read_by(cloud, path)
+
+
 @query("S2_drop_empty_attributes", P + "SELECT plot_id, point_id, x, y, z, intensity FROM fx_points")
 def _(v):
     cloud = v.points.select("plot_id", "point_id", "x", "y", "z", "intensity").withColumn("ring", F.lit(0))
@@ -66,6 +88,16 @@ def _(v):
     return so.discover_inputs(so.discover_inputs(names(v), "p1"), "p2").select("s_suppkey")
 
 
+@query("S6_list_inputs", P + "SELECT plot_id, count(*) AS n FROM fx_points GROUP BY plot_id")
+def _(v):
+    # every plot's clouds are written, found by listing the folder, and counted
+    path = scratch_path(v.spark)
+    so.write_by(v.points.select("plot_id", "x", "y", "z"), path, "plot_id")
+    listed = so.list_inputs(v.spark, path, ".parquet").select(F.regexp_extract("path", r"plot_id=(\d+)/", 1).cast("long").alias("plot_id")).distinct()
+    stored = so.read_by(v.points.select("plot_id", "x", "y", "z"), path).groupBy("plot_id").agg(F.count(F.lit(1)).alias("n"))
+    return stored.join(listed, "plot_id", "left_semi")
+
+
 @query("S7_combine_plots", fx("fx_taper", "fx_field_trees") + "SELECT plot_id, tree_id, height, NULL::DOUBLE AS bearing, cci FROM fx_taper UNION ALL SELECT plot_id, tree_id, height, bearing, NULL FROM fx_field_trees")
 def _(v):
     return so.combine_plots([v.taper.select("plot_id", "tree_id", "height", "cci"), v.field_trees.select("plot_id", "tree_id", "height", "bearing")])
@@ -95,17 +127,31 @@ def _(v):
     return out.select("plot_id", "x", "y", "z", "classification", "label", half_even(F.col("gps_time"), 4).alias("gps_time"), "tree_id")
 
 
-@query("S11_split_by_tree", fx("fx_points", "fx_cylinders").rstrip() + """, sk AS (SELECT DISTINCT plot_id, tree_id, x, y FROM fx_cylinders)
+BY_TREE = fx("fx_points", "fx_cylinders").rstrip() + """, sk AS (SELECT DISTINCT plot_id, tree_id, x, y FROM fx_cylinders)
 SELECT plot_id, CAST(intensity % 50 AS BIGINT) AS tree_id, point_id, label FROM fx_points WHERE label IN (2, 4)
 UNION ALL SELECT DISTINCT p.plot_id, sk.tree_id, p.point_id, p.label FROM fx_points p JOIN sk ON p.plot_id = sk.plot_id AND p.label = 1 AND abs(p.x - sk.x) <= 2.5 AND abs(p.y - sk.y) <= 2.5
-  AND sqrt((p.x - sk.x) * (p.x - sk.x) + (p.y - sk.y) * (p.y - sk.y)) <= 2.5""")
-def _(v):
+  AND sqrt((p.x - sk.x) * (p.x - sk.x) + (p.y - sk.y) * (p.y - sk.y)) <= 2.5"""
+
+
+def by_tree(v):
     cols = ["plot_id", "tree_id", "point_id", "label", "x", "y", "z"]
     trees = v.points.filter("label IN (2, 4)").withColumn("tree_id", (F.col("intensity") % 50).cast("long")).select(*cols)
     out = so.split_by_tree(trees, v.points.filter("label = 1").select("plot_id", "point_id", "label", "x", "y", "z"), v.cylinders, 2.5)
     return out.select("plot_id", "tree_id", "point_id", "label")
 
 
+@query("S11_split_by_tree", BY_TREE)
+def _(v):
+    return by_tree(v)
+
+
+@query("S11_split_by_tree_sink", BY_TREE)
+def _(v):
+    path, rows = scratch_path(v.spark), cut_lineage(by_tree(v))
+    so.write_by(rows, path, "plot_id", "tree_id")
+    return so.read_by(rows, path)
+
+
 SETTINGS = """client AS (SELECT s_suppkey AS plot_id, 'dbh_height' AS name, 1.3::DOUBLE AS value FROM supplier UNION ALL SELECT s_suppkey, 'plot_radius', s_suppkey::DOUBLE FROM supplier),
 base AS (SELECT s_suppkey AS plot_id, 'plot_radius' AS name, 14.1::DOUBLE AS value FROM supplier WHERE s_suppkey % 2 = 0),
 scan AS (SELECT s_suppkey AS plot_id, 'gap_connect' AS name, 0.5::DOUBLE AS value FROM supplier UNION ALL SELECT s_suppkey, 'plot_radius', 0 FROM supplier WHERE s_suppkey % 6 = 0)"""
@@ -291,8 +337,10 @@ def _(v):
 
 @query("S12_split_table_by_plot", VR + " SELECT plot_id, count(*) AS n_trees, min(bearing) AS first_bearing FROM g GROUP BY plot_id")
 def _(v):
-    # what the per-plot writer stores, summed up per plot
-    return fi.vr_to_trees(v.vr).groupBy("plot_id").agg(F.count(F.lit(1)).alias("n_trees"), F.min("bearing").alias("first_bearing"))
+    # the per-plot tables are written, read back and summed up per plot
+    path, rows = scratch_path(v.spark), fi.vr_to_trees(v.vr)
+    so.write_by(rows, path, "plot_id")
+    return so.read_by(rows, path).groupBy("plot_id").agg(F.count(F.lit(1)).alias("n_trees"), F.min("bearing").alias("first_bearing"))
 
 
 @query("K11_add_dub_column", fx("fx_diameters").rstrip() + f""", r AS (SELECT * FROM fx_diameters WHERE ma_diameter IS NOT NULL AND tree_height IS NOT NULL), h AS (SELECT tree_id, arg_min(tree_height, row_id) AS h FROM r GROUP BY tree_id)

@@ -1,7 +1,8 @@
 """Readers and writers of point tables.
 
 Clouds arrive as Parquet or as headerless text; binary scanner files are converted
-upstream. Everything below is lazy except the one-row check for empty attributes.
+upstream. Everything below is lazy except the one-row check for empty attributes, the
+numbering of text lines (the lines are written once as a table) and the writers.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +23,10 @@ from arborframe.schema import DIMENSION_TYPES, OTHER_DIMENSION
 OUTPUT_MARK = "FT_output"
 UNLABELLED_SKIPS = ("segmented_raw", "terrain_points")
 CLASS_DTM = 8
+#: Bits of a point id that hold the position in its file; the file's number stands above them.
+POSITION_BITS = 40
+#: Rows per file and writing task that the writers aim at.
+ROWS_PER_FILE = 5_000_000
 
 
 def select_dims(df: DataFrame, headers: Sequence[str]) -> DataFrame:
@@ -31,22 +36,56 @@ def select_dims(df: DataFrame, headers: Sequence[str]) -> DataFrame:
 
 
 def load_points(
-    spark: SparkSession, path: str, headers: Sequence[str], fmt: str = "parquet", plots: DataFrame | None = None
+    spark: SparkSession, path: str, headers: Sequence[str], fmt: str = "parquet", plots: DataFrame | None = None, ids: bool = False
 ) -> DataFrame:
     """Points with the requested dimensions, cropped to the plots when given.
 
-    ``fmt='csv'`` reads space-delimited text whose columns are ``headers`` in order.
+    ``fmt='csv'`` reads space-delimited text whose columns are ``headers`` in order. ``ids``
+    adds point_id: the file's number among the files read, by path, and the point's position
+    in its file. It is the same for every reading of the same files, however they are split.
     """
     if fmt == "parquet":
-        out = select_dims(spark.read.parquet(path), headers)
+        raw = spark.read.parquet(path)
+        if ids:
+            raw = raw.withColumns({"_file": F.col("_metadata.file_path"), "_position": F.col("_metadata.row_index")})
+            raw = with_point_ids(raw)
+            headers = ["point_id", *[h for h in headers if h != "point_id"]]
+        out = select_dims(raw, headers)
     else:
         schema = T.StructType([T.StructField(h, T.DoubleType()) for h in headers])
-        text = spark.read.text(path)
+        text = with_point_ids(numbered_lines(spark, path)) if ids else spark.read.text(path)
         parts = F.split(F.trim("value"), r"\s+")
-        out = text.select(*[F.try_element_at(parts, F.lit(i + 1)).cast(f.dataType).alias(f.name) for i, f in enumerate(schema)])
+        named = [F.try_element_at(parts, F.lit(i + 1)).cast(f.dataType).alias(f.name) for i, f in enumerate(schema)]
+        out = text.select(*(["point_id"] if ids else []), *named)
     return out if plots is None else crop_circle(out, plots)
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(_file, _position, value): the lines of text files with their place in the file, from 0.
+
+    A task reads the lines of a block of a file in order, so a line's place is the number of
+    lines in the blocks before its own plus its place in the block.
+    """
+    block = ["_file", "_block"]
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_read"), "value"
+    )
+    lines = cut_lineage(lines)
+    sizes = lines.groupBy(*block).agg(F.min("_read").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = cut_lineage(sizes.select(*block, "_first", before.alias("_before")))
+    return lines.join(sizes, block).select("_file", (F.col("_before") + F.col("_read") - F.col("_first")).alias("_position"), "value")
+
+
+def with_point_ids(rows: DataFrame) -> DataFrame:
+    """point_id from _file and _position, which it replaces (an older point_id too)."""
+    # one row per file: a short list, numbered in one task
+    files = rows.select("_file").distinct()
+    files = cut_lineage(files.select("_file", F.row_number().over(Window.orderBy("_file")).cast("long").alias("_number")))
+    ids = F.shiftleft("_number", POSITION_BITS) + F.col("_position")
+    return rows.drop("point_id").join(files, "_file").withColumn("point_id", ids).drop("_file", "_position", "_number")
+
+
 def drop_empty_attributes(df: DataFrame, keep: Sequence[str] = ("plot_id", "point_id", "x", "y", "z")) -> DataFrame:
     """Drop numeric attributes that are zero everywhere (one aggregate over the table)."""
     numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and f.name not in keep]
@@ -64,7 +103,7 @@ def save_points(df: DataFrame, path: str, fmt: str = "parquet", partition: Seque
     if fmt == "csv":
         slim.write.mode(mode).csv(path, sep=" ", header=False)
     else:
-        slim.write.mode(mode).partitionBy(*partition).parquet(path)
+        write_by(slim, path, *partition, mode=mode)
     return True
 
 
@@ -91,6 +130,13 @@ def discover_inputs(paths: DataFrame, column: str = "path", suffix: str = ".laz"
     return paths.filter(F.col(column).endswith(suffix) & ~F.col(column).contains(OUTPUT_MARK))
 
 
+def list_inputs(spark: SparkSession, folder: str, suffix: str = ".laz") -> DataFrame:
+    """(path, bytes, modified) of the input clouds below a folder; the files are listed, not read."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").option("recursiveFileLookup", "true").load(folder)
+    found = found.select("path", F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
+    return discover_inputs(found, suffix=suffix)
+
+
 def read_folder(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
     """All clouds below a folder with their plot id from the file name."""
     df = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").parquet(path)
@@ -139,10 +185,23 @@ def split_by_tree(tree_points: DataFrame, ground_points: DataFrame, skeleton: Da
     return tree_points.unionByName(near)
 
 
-def write_by(df: DataFrame, path: str, *keys: str, mode: str = "errorifexists") -> None:
-    """One folder per key value. Rows are spread by key and a hash of the row first, so
-    a key with much of the data is written by several tasks."""
-    df.repartition(*keys, F.pmod(F.xxhash64(*df.columns), F.lit(8))).write.mode(mode).partitionBy(*keys).parquet(path)
+def write_by(df: DataFrame, path: str, *keys: str, mode: str = "errorifexists", rows_per_file: int = ROWS_PER_FILE) -> None:
+    """One folder per key value, with as many files as its rows need.
+
+    The rows of every key are counted first (combined before the shuffle); a key with much of
+    the data is then spread by a hash of the row over as many tasks as it fills files, a small
+    one is written as one file. Equal rows share a task, which starts a new file when one is full.
+    """
+    sizes = df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / rows_per_file).cast("long").alias("_files"))
+    sizes = cut_lineage(sizes.select(F.struct(*keys).alias("_key"), "_files"))
+    spread = df.join(sizes, F.struct(*[df[k] for k in keys]).eqNullSafe(F.col("_key")))
+    spread = spread.repartition(*keys, F.pmod(F.xxhash64(*df.columns), F.col("_files"))).select(*df.columns)
+    spread.write.mode(mode).option("maxRecordsPerFile", rows_per_file).partitionBy(*keys).parquet(path)
+
+
+def read_by(df: DataFrame, path: str) -> DataFrame:
+    """What ``write_by`` stored of df, with its columns in their order and types."""
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def strip_headers(df: DataFrame) -> DataFrame:

@@ -185,6 +185,44 @@ def test_text_cloud_and_writers(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "split")).count() == 2
 
 
+def test_point_ids_follow_file_and_position(spark, tmp_path):
+    (tmp_path / "text").mkdir()
+    lines = [f"{i % 7} {i} 0.5" for i in range(3000)]
+    (tmp_path / "text" / "b.csv").write_text("\n".join(lines) + "\n")
+    (tmp_path / "text" / "a.csv").write_text("9 9 9\n" * 40)
+    (tmp_path / "text" / "empty.csv").write_text("")
+    want = [(p, 9.0, 9.0) for p in range(40)] + [((1 << so.POSITION_BITS) + i, float(i % 7), float(i)) for i in range(3000)]
+    source, found = str(tmp_path / "text"), []
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("1000", "7777", before):  # the same ids however the files are split
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            df = so.load_points(spark, source, ["x", "y", "z"], fmt="csv", ids=True)
+            found.append(sorted(tuple(r) for r in df.select("point_id", "x", "y").collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    first = min(i for i, _, _ in found[0])
+    assert all(f == found[0] for f in found) and [(i - first, x, y) for i, x, y in found[0]] == want
+    df.write.parquet(str(tmp_path / "pq"))
+    cloud = so.load_points(spark, str(tmp_path / "pq"), ["x", "y", "point_id"], ids=True)
+    assert cloud.columns == ["point_id", "x", "y"] and cloud.select("point_id").distinct().count() == 3040
+    assert sorted(cloud.collect()) == sorted(so.load_points(spark, str(tmp_path / "pq"), ["x", "y"], ids=True).collect())
+
+
+def test_writers_are_sized_by_rows(spark, tmp_path):
+    rows = [("hot", i, "x") for i in range(900)] + [("hot", 5, "x")] * 300 + [("cold", 1, "y"), (None, 2, None)]
+    df = spark.createDataFrame(rows, "plot_id string, point_id long, ring string")
+    so.write_by(df, str(tmp_path / "out"), "plot_id", rows_per_file=100)
+    files = {k: [f for f in tmp_path.glob(f"out/plot_id={k}/*.parquet")] for k in ("hot", "cold", "__HIVE_DEFAULT_PARTITION__")}
+    assert len(files["hot"]) >= 12 and len(files["cold"]) == 1 and len(files["__HIVE_DEFAULT_PARTITION__"]) == 1
+    back = so.read_by(df, str(tmp_path / "out"))
+    assert back.columns == df.columns and sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
+    listed = so.list_inputs(spark, str(tmp_path / "out"), ".parquet")
+    assert listed.count() == sum(map(len, files.values())) and listed.filter("bytes <= 0").count() == 0
+    so.write_by(df.limit(0), str(tmp_path / "none"), "plot_id")
+    assert so.read_by(df, str(tmp_path / "none")).count() == 0
+
+
 def test_folder_source_and_stream(spark, tmp_path):
     base = spark.createDataFrame([(1.0, 2.0, 3.0, 1), (1.0, 2.0, 4.0, 7)], "x double, y double, z double, classification int")
     for name in ("in/plot7_scan.v1.parquet", "in/plot9.parquet", "in/plot7_FT_output/old.parquet"):
