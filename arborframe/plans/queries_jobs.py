@@ -8,8 +8,9 @@ from arborframe import params as pa
 from arborframe.functions.numeric import half_even
 from arborframe.plans import jobs
 from arborframe.plans.queries_assemble import stacked
+from arborframe.plans.queries_tiling import ASSIGN
 from arborframe.plans.registry import query
-from arborframe.plans.sqltext import even, fx
+from arborframe.plans.sqltext import even, fx, hash_sql
 
 # limits for the sparse scan of the fixture
 SPARSE = {
@@ -52,11 +53,30 @@ def _(v):
     return jobs.preprocess(v.scan, scan_plots(v), SPARSE)["summary"].select("plot_id", "num_points_original", "num_points_trimmed", "num_points_subsampled")
 
 
-@query("K1_preprocess_samples")
+# the cloud as K1 leaves it, under the name the box text reads
+BOXED = fx("fx_scan", "fx_plots").rstrip() + f""", ids AS (SELECT min(point_id) AS point_id FROM fx_scan WHERE sqrt(x * x + y * y) < 14 AND intensity >= 10 GROUP BY plot_id, {', '.join(even(c, 3) for c in 'xyz')}),
+fx_points AS (SELECT s.* FROM fx_scan s JOIN ids USING (point_id))""" + ASSIGN
+LIMITED = BOXED + f""", big AS (SELECT b.*, row_number() OVER (PARTITION BY plot_id, box_id ORDER BY {hash_sql('point_id', 1)}, point_id) AS r FROM boxed b JOIN (SELECT plot_id, box_id FROM boxed GROUP BY ALL HAVING count(*) > 100) USING (plot_id, box_id))"""
+
+
+@query("K1_preprocess_samples", BOXED + " SELECT plot_id, point_id, x, y, z, box_id FROM boxed")
 def _(v):
     return jobs.preprocess(v.scan, scan_plots(v), SPARSE)["samples"]
 
 
+@query("K1_training_samples", LIMITED + " SELECT plot_id, point_id, x, y, z, box_id FROM big WHERE r <= 500")
+def _(v):
+    return jobs.preprocess(v.scan, scan_plots(v), SPARSE, limit_boxes=True)["samples"]
+
+
+@query("K1_sample_counts", LIMITED + """, a AS (SELECT plot_id, count(*) AS n FROM boxed GROUP BY plot_id), k AS (SELECT plot_id, count(*) AS n FROM big WHERE r <= 500 GROUP BY plot_id)
+SELECT p.plot_id, coalesce(a.n, 0) AS num_sample_rows, coalesce(k.n, 0) AS num_sample_rows_kept, coalesce(a.n, 0) - coalesce(k.n, 0) AS num_sample_rows_dropped
+FROM fx_plots p LEFT JOIN a ON a.plot_id = p.plot_id LEFT JOIN k ON k.plot_id = p.plot_id""")
+def _(v):
+    summary = jobs.preprocess(v.scan, scan_plots(v), SPARSE, limit_boxes=True)["summary"]
+    return summary.select("plot_id", "num_sample_rows", "num_sample_rows_kept", "num_sample_rows_dropped")
+
+
 def scored(v):
     """Scores as a model gives them: the true class likely, the others not."""
     p = [F.when(F.col("label") == i + 1, 0.7).otherwise(0.1).alias(f"p{i}") for i in range(4)]
