@@ -6,10 +6,11 @@ import itertools
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arborframe.lineage import cut_lineage, release
+from arborframe.operators.nearest import Boxes
 from arborframe.operators.spatial import XYZ, cell, radius_pairs
 
 
@@ -91,25 +92,117 @@ def trace_paths(branches: DataFrame, starts: DataFrame, by: Sequence[str] = ("pl
     branches(by, branch_id, parent_branch_id, mean_radius, z_min), starts(by, start_id,
     base_top). Returns (path, children): the visited branches with their step, and all
     children of visited branches plus the start itself.
+
+    Pointer doubling: the descendants of the starts and their distances double in reach per
+    round; among them every (start, branch) has one best child, and the table of best
+    children is doubled until no path goes on. Rounds grow with the log of the depth, tables
+    are at most branches times depth. Parents in a cycle are an error in the input.
     """
     by = list(by)
     key = [*by, "start_id"]
     child = branches.filter("branch_id <> parent_branch_id").select(
         *by, F.col("parent_branch_id").alias("cur"), "branch_id", "mean_radius", "z_min"
     )
-    front = cut_lineage(starts.select(*key, F.col("start_id").alias("cur"), "base_top"))
-    path = [front.select(*key, F.lit(0).alias("step"), F.col("cur").alias("branch_id"))]
-    kids = [front.select(*key, F.col("cur").alias("branch_id"))]
-    best = Window.partitionBy(*key).orderBy(F.desc("mean_radius"), "branch_id")
-    for step in itertools.count(1):
-        next_kids = cut_lineage(front.join(child, [*by, "cur"]))
-        if next_kids.isEmpty():
+    starts = cut_lineage(starts.select(*key, "base_top"))
+    below = cut_lineage(child.select(*by, F.col("cur").alias("top"), "branch_id", F.lit(1).alias("d")).distinct())
+    for bits in range(branches.count().bit_length() + 2):
+        far = below.filter(F.col("d") == 2**bits).select(*by, "top", F.col("branch_id").alias("mid"))
+        longer = far.join(below.withColumnRenamed("top", "mid"), [*by, "mid"])
+        longer = cut_lineage(longer.select(*by, "top", "branch_id", (F.col("d") + 2**bits).alias("d")))
+        if longer.isEmpty():
+            release(longer)
+            break
+        last, below = below, cut_lineage(below.unionByName(longer))
+        release(last, longer)
+    else:
+        raise RuntimeError("parent pointers form a cycle")
+
+    seen = below.join(starts.withColumn("top", F.col("start_id")), [*by, "top"]).select(*key, "base_top", F.col("branch_id").alias("cur"))
+    seen = seen.unionByName(starts.select(*key, "base_top", F.col("start_id").alias("cur")))
+    first = F.struct((-F.col("mean_radius")).alias("r"), "branch_id")
+    jump = seen.join(child, [*by, "cur"]).filter(F.col("z_min") >= F.col("base_top")).groupBy(*key, "cur").agg(F.min(first).alias("_best"))
+    jump = cut_lineage(jump.select(*key, "cur", F.col("_best.branch_id").alias("ahead")))
+    release(below)
+    path = cut_lineage(starts.select(*key, F.lit(0).alias("step"), F.col("start_id").alias("branch_id")))
+    for bits in itertools.count():  # ends: paths are no longer than the depth
+        # the path holds the steps below 2**bits, the jumps lead 2**bits steps ahead
+        further = path.join(jump.withColumnRenamed("cur", "branch_id"), [*key, "branch_id"])
+        further = cut_lineage(further.select(*key, (F.col("step") + 2**bits).alias("step"), F.col("ahead").alias("branch_id")))
+        if further.isEmpty():
+            release(further, jump)
+            break
+        last, path = path, cut_lineage(path.unionByName(further))
+        release(last, further)
+        twice = jump.join(jump.select(*key, F.col("cur").alias("ahead"), F.col("ahead").alias("_then")), [*key, "ahead"])
+        last, jump = jump, cut_lineage(twice.select(*key, "cur", F.col("_then").alias("ahead")))
+        release(last)
+    kids = path.withColumnRenamed("branch_id", "cur").join(child, [*by, "cur"]).select(*key, "branch_id")
+    return path, kids.unionByName(starts.select(*key, F.col("start_id").alias("branch_id"))).distinct()
+
+
+#: Points of undecided cell pairs are opened once they make at most so many pairs per core point.
+PAIRS_EACH = 20
+#: Halvings after which the points are opened in any case; cells of that width hold one position.
+MOST_HALVINGS = 40
+
+
+def linked_cells(core: DataFrame, eps: float, side: float, coords: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """(by, u, v): pairs of cells, named by ``_rep``, that hold two positions within ``eps``.
+
+    core(by, coords, _rep): distinct positions, ``_rep`` one name per cell of width ``side``
+    (at least eps / sqrt(d)). Neighbouring cells are compared by the boxes of their positions:
+    a greatest distance within eps links them, a least distance beyond eps drops them. The
+    undecided pairs are split into halves of both cells and judged again; a pair is done at
+    its first certain halves. Boxes of one position are always decided. Points are opened
+    when few pairs are left, so the pairs made do not grow with the points in a cell.
+    """
+    by, boxes = list(by), Boxes(coords)
+    index = [f"i{k}" for k in range(boxes.d)]
+    ends = ("u", "v")
+
+    def halved(level: int) -> DataFrame:
+        """Occupied parts of the cells after ``level`` halvings with their positions' box."""
+        parts = core.withColumns({i: cell(F.col(c), side / 2**level) for i, c in zip(index, coords)})
+        return parts.groupBy(*by, "_rep", *index).agg(F.count(F.lit(1)).alias("n"), *boxes.around("b"))
+
+    def as_end(parts: DataFrame, end: str) -> DataFrame:
+        names = {"_rep": end, "n": f"n_{end}", **{i: f"{end}_{i}" for i in index}, **dict(zip(boxes.of("b"), boxes.of(end)))}
+        return parts.withColumnsRenamed(names)
+
+    def judged(pairs: DataFrame) -> DataFrame:
+        near = pairs.filter(boxes.least("u", "v") <= eps).withColumn("sure", boxes.greatest("u", "v") <= eps)
+        return cut_lineage(near.select(*by, *ends, "sure", "n_u", "n_v", *[f"{e}_{i}" for e in ends for i in index]))
+
+    reach = int(boxes.d**0.5) + 1
+    steps = [o for o in itertools.product(range(-reach, reach + 1), repeat=boxes.d) if o > (0,) * boxes.d]
+    whole = cut_lineage(halved(0))
+    around = as_end(whole, "u").withColumn("_o", F.explode(F.array(*[F.array(*[F.lit(x) for x in o]) for o in steps])))
+    around = around.withColumns({f"v_{i}": F.col(f"u_{i}") + F.col("_o")[k] for k, i in enumerate(index)}).drop("_o")
+    pairs = judged(around.join(as_end(whole, "v"), [*by, *[f"v_{i}" for i in index]]))
+    found = [pairs.filter("sure").select(*by, *ends)]
+    left = pairs.filter("NOT sure")
+    rows = whole.agg(F.sum("n")).first()[0] or 0
+    level = 0
+    while work := left.agg(F.sum(F.col("n_u") * F.col("n_v"))).first()[0]:
+        if work <= PAIRS_EACH * rows or level == MOST_HALVINGS:
+            placed = core.withColumns({i: cell(F.col(c), side / 2**level) for i, c in zip(index, coords)}).select(*by, "_rep", *index, *coords)
+            a, b = (placed.withColumnsRenamed({"_rep": e, **{i: f"{e}_{i}" for i in index}, **{c: f"{e}_{c}" for c in coords}}) for e in ends)
+            met = left.join(a, [*by, "u", *[f"u_{i}" for i in index]]).join(b, [*by, "v", *[f"v_{i}" for i in index]])
+            distance = Boxes.norm([F.col(f"u_{c}") - F.col(f"v_{c}") for c in coords])
+            found.append(cut_lineage(met.filter(distance <= eps).select(*by, *ends).distinct()))
             break
-        kids.append(next_kids.select(*key, "branch_id"))
-        up = next_kids.filter(F.col("z_min") >= F.col("base_top")).withColumn("_r", F.row_number().over(best)).filter("_r = 1")
-        front = cut_lineage(up.select(*key, F.col("branch_id").alias("cur"), "base_top"))
-        path.append(front.select(*key, F.lit(step).alias("step"), F.col("cur").alias("branch_id")))
-    return reduce(DataFrame.unionByName, path), reduce(DataFrame.unionByName, kids).distinct()
+        level += 1
+        parts = cut_lineage(halved(level))
+        split = left.select(*by, *ends, *[f"{e}_{i}" for e in ends for i in index]).withColumnsRenamed({f"{e}_{i}": f"{e}_up_{i}" for e in ends for i in index})
+        for e in ends:
+            inner = as_end(parts, e).withColumns({f"{e}_up_{i}": F.call_function("shiftright", F.col(f"{e}_{i}"), F.lit(1)) for i in index})
+            split = split.join(inner, [*by, e, *[f"{e}_up_{i}" for i in index]])
+        pairs = judged(split)
+        hit = cut_lineage(pairs.filter("sure").select(*by, *ends).distinct())
+        found.append(hit)
+        left = cut_lineage(pairs.filter("NOT sure").join(hit, [*by, *ends], "left_anti"))
+        release(pairs, parts)
+    return reduce(DataFrame.unionByName, found)
 
 
 def density_clusters(
@@ -126,8 +219,9 @@ def density_clusters(
     A core row has at least ``min_samples`` rows (itself included) within eps. Copies of
     a position are merged into one weighted position first. Positions are put in cells
     whose diagonal is eps: a cell that already holds min_samples is core without any
-    pair, cells are joined as wholes, and only positions of thin cells are counted by
-    pairs. The component search runs on cells, not rows. With min_samples = 2 this is
+    pair, only positions of thin cells are counted by pairs (each position meets at most
+    those of the cells around it, fewer than min_samples a cell), and cells are linked by
+    ``linked_cells``. The component search runs on cells, not rows. With min_samples = 2 this is
     plain DBSCAN. Output: by, row id, cluster_id (smallest row id of the cluster).
     """
     by = list(by)
@@ -146,9 +240,7 @@ def density_clusters(
     )
     rep = core.groupBy(*by, *cells).agg(F.min("_p").alias("_rep"))
     core = cut_lineage(core.join(rep, [*by, *cells]).select(*by, *coords, "_p", "_w", "_rep"))
-    slim = core.select(*by, *coords, "_rep")
-    links = radius_pairs(slim, slim, eps, coords, by).filter(F.col("near._rep") < F.col("_rep"))
-    links = links.select(*by, F.col("_rep").alias("u"), F.col("near._rep").alias("v")).distinct()
+    links = linked_cells(core.select(*by, *coords, "_rep"), eps, side, coords, by)
     comp = connected_components(links, by).withColumnRenamed("node", "_rep")
     named = core.join(comp, [*by, "_rep"], "left").select(*by, *coords, "_w", F.coalesce("component", "_rep").alias("cluster_id"))
     sizes = named.groupBy(*by, "cluster_id").agg(F.sum("_w").alias("_n")).filter(F.col("_n") >= max(min_size, 2 if min_samples == 2 else 1))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
 from functools import reduce
 
 import numpy as np
@@ -112,8 +111,39 @@ def make_dtm(points: DataFrame, plots: DataFrame | None = None, resolution: floa
     return dtm
 
 
+def _row_gap(row: pd.DataFrame) -> pd.DataFrame:
+    """Greatest chessboard distance of a raster row's cells to a valued cell, from their distances along the columns."""
+    up = row.sort_values("cx")["gap"].to_numpy()
+    best = up.copy()
+    step = 1
+    while step < len(up) and step < best.max():  # further columns are at least a step away
+        np.minimum(best[step:], np.maximum(up[:-step], step), out=best[step:])
+        np.minimum(best[:-step], np.maximum(up[step:], step), out=best[:-step])
+        step += 1
+    return pd.DataFrame({"plot_id": row["plot_id"].iloc[:1], "half": [int(best.max())]})
+
+
+def gap_width(raster: DataFrame, value: DataFrame) -> DataFrame:
+    """(plot_id, half): the least half width (1 or more) at which a window around any cell holds a valued cell.
+
+    Chessboard distance transform in two passes, whatever the width: distances along raster
+    columns by two running windows, then along the rows, one row per group. A mirrored cell is
+    never nearer than the cell itself, so the mirrored edge does not matter here.
+    """
+    cells = raster.select("plot_id", "cx", "cy").join(value.select("plot_id", "cx", "cy", F.col("cy").alias("_at")), ["plot_id", "cx", "cy"], "left")
+    column = Window.partitionBy("plot_id", "cx").orderBy("cy")
+    before = F.last("_at", True).over(column.rowsBetween(Window.unboundedPreceding, 0))
+    after = F.first("_at", True).over(column.rowsBetween(0, Window.unboundedFollowing))
+    # a column without values is farther than any raster is wide
+    gap = F.coalesce(F.least(F.col("cy") - before, after - F.col("cy")), F.lit(2**62)).cast("long")
+    of_rows = cells.select("plot_id", "cy", "cx", gap.alias("gap")).groupBy("plot_id", "cy")
+    kind = raster.schema["plot_id"].dataType.simpleString()
+    rows = of_rows.applyInPandas(_row_gap, f"plot_id {kind}, half long")
+    return rows.groupBy("plot_id").agg(F.greatest(F.max("half"), F.lit(1).cast("long")).alias("half"))
+
+
 def make_dem(points: DataFrame, length: float = 0.5, terrain_label: int = 1) -> DataFrame:
-    """Cell raster of ground heights with gaps closed by a growing median window.
+    """Cell raster of ground heights with gaps closed by a median window.
 
     A cell has a value only if a terrain point equals the cell's median z. The window
     (3, 5, ... cells, mirrored at the raster edge) is the smallest that leaves no gap
@@ -137,32 +167,14 @@ def make_dem(points: DataFrame, length: float = 0.5, terrain_label: int = 1) ->
         raster = raster.withColumn(c, F.explode(F.sequence(F.col(f"lo_{c}"), F.col(f"hi_{c}"))))
     raster = cut_lineage(raster)
 
-    def window(rows: DataFrame, half: int) -> DataFrame:
-        out = rows
-        for c in ("cx", "cy"):
-            n = F.col(f"hi_{c}") - F.col(f"lo_{c}") + 1
-            out = out.withColumn("_o", F.explode(F.sequence(F.lit(-half), F.lit(half))))
-            i = F.pmod(F.col(c) - F.col(f"lo_{c}") + F.col("_o"), 2 * n)
-            out = out.withColumn(f"w{c}", F.least(i, 2 * n - 1 - i) + F.col(f"lo_{c}")).drop("_o")
-        hit = value.withColumnsRenamed({"cx": "wcx", "cy": "wcy"})
-        return out.join(hit, ["plot_id", "wcx", "wcy"])
-
-    sizes: list[DataFrame] = []
-    open_plots = raster.select("plot_id").distinct()
-    for half in itertools.count(1):  # ends: every plot here has a valued cell, and the window grows over the raster
-        rows = raster.join(open_plots, "plot_id", "left_semi")
-        covered = window(rows, half).select("plot_id", "cx", "cy").distinct()
-        gaps = rows.join(covered, ["plot_id", "cx", "cy"], "left_anti").select("plot_id").distinct()
-        gaps = cut_lineage(gaps)
-        sizes.append(open_plots.join(gaps, "plot_id", "left_anti").withColumn("half", F.lit(half)))
-        open_plots = gaps
-        if gaps.isEmpty():
-            break
-    filled = []
-    for half, plots_of_size in enumerate(sizes, start=1):
-        rows = window(raster.join(plots_of_size, "plot_id", "left_semi"), half)
-        filled.append(rows.groupBy("plot_id", "cx", "cy").agg(F.percentile("v", F.lit(0.5)).alias("zz")))
-    out = reduce(DataFrame.unionByName, filled)
+    rows = raster.join(gap_width(raster, value), "plot_id")
+    for c in ("cx", "cy"):
+        n = F.col(f"hi_{c}") - F.col(f"lo_{c}") + 1
+        rows = rows.withColumn("_o", F.explode(F.sequence(-F.col("half"), F.col("half"))))
+        i = F.pmod(F.col(c) - F.col(f"lo_{c}") + F.col("_o"), 2 * n)
+        rows = rows.withColumn(f"w{c}", F.least(i, 2 * n - 1 - i) + F.col(f"lo_{c}")).drop("_o")
+    seen = rows.join(value.withColumnsRenamed({"cx": "wcx", "cy": "wcy"}), ["plot_id", "wcx", "wcy"])
+    out = seen.groupBy("plot_id", "cx", "cy").agg(F.percentile("v", F.lit(0.5)).alias("zz"))
     return out.select("plot_id", (F.col("cx") * length).alias("xx"), (F.col("cy") * length).alias("yy"), "zz")
 
 

@@ -135,6 +135,56 @@ def test_density_clusters_equal_brute_force(spark, eps, m):
         assert (names[a] == names[b]) == (want[a] == want[b])
 
 
+@pytest.mark.parametrize("gap", [0.499, 0.501])
+def test_crowded_cells_are_linked_by_their_parts(spark, gap, monkeypatch):
+    """Two crowded spots whose nearest positions lie just within or just beyond eps: parts are
+    judged, few points are opened; and the same without opening any point."""
+    rnd = random.Random(8)
+    rows = [(0, i, -rnd.random() * 0.2, rnd.random() * 0.2, rnd.random() * 0.2) for i in range(400)] + [(0, 400, 0.0, 0.1, 0.1)]
+    rows += [(0, 500 + i, gap + rnd.random() * 0.2, rnd.random() * 0.2, rnd.random() * 0.2) for i in range(400)] + [(0, 900, gap, 0.1, 0.1)]
+    for each in (graph.PAIRS_EACH, -1):
+        monkeypatch.setattr(graph, "PAIRS_EACH", each)
+        got = graph.density_clusters(spark.createDataFrame(rows, ROW.format("pid")), 0.5, 4, "pid").collect()
+        assert len(got) == 802
+        assert len({r.cluster_id for r in got}) == (1 if gap <= 0.5 else 2)
+
+
+def test_paths_are_as_long_as_the_tree_is_deep(spark):
+    """A chain of 37 branches with a thinner and a lower side branch each; every branch is a start."""
+    rows = [(0, 3 * i, max(3 * i - 3, 0), 0.5, float(i)) for i in range(37)]
+    rows += [(0, 3 * i + 1, 3 * i, 0.4, float(i + 1)) for i in range(37)] + [(0, 3 * i + 2, 3 * i, 0.6, -1.0) for i in range(37)]
+    branches = spark.createDataFrame(rows, "plot_id int, branch_id long, parent_branch_id long, mean_radius double, z_min double")
+    starts = branches.selectExpr("plot_id", "branch_id AS start_id", "z_min AS base_top")
+    path, kids = graph.trace_paths(branches, starts)
+    got = {}
+    for r in path.collect():
+        got.setdefault(r.start_id, {})[r.step] = r.branch_id
+    children = {i: [r for r in rows if r[2] == i and r[1] != i] for _, i, *_ in rows}
+    near = {}
+    for _, i, _, _, low in rows:
+        want = [i]
+        while up := [c for c in children[want[-1]] if c[4] >= low]:
+            want.append(min(up, key=lambda c: (-c[3], c[1]))[1])
+        assert [got[i][k] for k in range(len(got[i]))] == want
+        near[i] = {i, *(c[1] for w in want for c in children[w])}
+    assert max(len(p) for p in got.values()) == 38
+    seen = {}
+    for r in kids.collect():
+        seen.setdefault(r.start_id, set()).add(r.branch_id)
+    assert seen == near
+
+
+def test_gap_width_equals_brute_force(spark):
+    rnd = random.Random(5)
+    shapes = {"a": (13, 9, 3), "b": (1, 17, 1), "c": (40, 2, 2), "d": (1, 1, 1), "e": (6, 6, 36)}
+    cells = [(p, x - 3, y + 2) for p, (w, h, _) in shapes.items() for x in range(w) for y in range(h)]
+    valued = [c for p, (_, _, n) in shapes.items() for c in rnd.sample([c for c in cells if c[0] == p], n)]
+    make = lambda rows: spark.createDataFrame(rows, "plot_id string, cx long, cy long")
+    got = {r.plot_id: r.half for r in terrain.gap_width(make(cells), make(valued)).collect()}
+    want = {p: max(1, *(min(max(abs(c[1] - v[1]), abs(c[2] - v[2])) for v in valued if v[0] == p) for c in cells if c[0] == p), 1) for p in shapes}
+    assert got == want
+
+
 def test_roots_and_paths(spark):
     edges = spark.createDataFrame([(0, i, i // 2) for i in range(1, 40)] + [(0, 0, 0)], "plot_id int, b long, p long")
     got = {r.b: r.root for r in graph.resolve_roots(edges, "b", "p").collect()}
