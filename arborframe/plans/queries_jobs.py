@@ -113,6 +113,29 @@ def _(v):
     return measured(v)["trees"]
 
 
+def model(v):
+    """The segmentation step as a model gives it: the true class of a sample row likely, the others not."""
+    def score(samples):
+        truth = v.scan.select("plot_id", "point_id", *[F.when(F.col("label") == i + 1, 0.7).otherwise(0.1).alias(f"p{i}") for i in range(4)])
+        return samples.select("plot_id", "point_id", "box_id").join(truth, ["plot_id", "point_id"])
+    return score
+
+
+# wide slices, so that a stem of the sparse scan has enough points in each
+CHAIN = {**SPARSE, "minimum_cci": 0.0, "vegetation_coverage_resolution": 0.5, "slice_thickness": 0.6, "eps": 0.25, "gap_connect": 0.6, "min_tree_cyls": 5}
+
+
+def chain(v):
+    return jobs.measure_plots(v.scan.drop("tree"), scan_plots(v), CHAIN, model(v), (10, 10, 10))
+
+
+@query("K1_K6_plot_summary")
+def _(v):
+    """All but the five run times, which differ from run to run."""
+    out = chain(v)["plot_summary"]
+    return out.select(*[c for c in out.columns if not c.endswith("(s)")])
+
+
 @query("K8_prepare_training")
 def _(v):
     pts = v.points.withColumn("plot_id", F.col("intensity"))
