@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -195,23 +196,24 @@ def polar_inner_shell(sections: DataFrame, by: Sequence[str], keep: int = 4) ->
     return rows.withColumn("_r", F.rank().over(w)).filter(F.col("_r") <= keep).drop("_phi", "_d", "_r")
 
 
-def _numbered(points: DataFrame, by: Sequence[str], seed_col: str) -> tuple[DataFrame, DataFrame]:
-    w = Window.partitionBy(*by).orderBy("point_id")
-    rows = points.withColumn("_i", F.row_number().over(w) - 1)
-    sizes = points.groupBy(*by).agg(F.count(F.lit(1)).alias("n_points"), F.min(seed_col).alias("_seed"))
-    return rows, sizes
-
-
 def circle_candidates(points: DataFrame, by: Sequence[str], trials: int, seed: int) -> DataFrame:
-    """``trials`` circles per section through three hash-picked points."""
+    """``trials`` circles per section through three hash-picked points.
+
+    A point finds the picks that fall on it from its place in its section, so the sections
+    are shuffled once and meet no table of picks.
+    """
     by = list(by)
-    rows, sizes = _numbered(points, by, "point_id")
-    picks = sizes.withColumn("trial", F.explode(F.sequence(F.lit(0), F.lit(trials - 1))))
+    section = Window.partitionBy(*by)
+    rows = points.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in by])).select(
+        *by, "u", "v", (F.row_number().over(section.orderBy("point_id")) - 1).alias("_i"),
+        F.count(F.lit(1)).over(section).alias("n_points"), F.min("point_id").over(section).alias("_seed"),
+    )
+
     key = F.pmod(F.col("_seed"), F.lit(1000003)) * 4099 + F.col("trial")
-    picks = picks.withColumns({f"_i{j}": F.pmod(id_hash(key, seed + j), F.col("n_points")).cast("int") for j in range(3)})
-    for j in range(3):
-        spot = rows.select(*by, F.col("_i").alias(f"_i{j}"), F.col("u").alias(f"_u{j}"), F.col("v").alias(f"_v{j}"))
-        picks = picks.join(spot, [*by, f"_i{j}"])
+    here = [F.pmod(id_hash(key, seed + j), F.col("n_points")) == F.col("_i") for j in range(3)]
+    picks = rows.withColumn("trial", F.explode(F.sequence(F.lit(0), F.lit(trials - 1)))).filter(here[0] | here[1] | here[2])
+    at = {f"_{c}{j}": F.max(F.when(here[j], F.col(c))) for j in range(3) for c in ("u", "v")}
+    picks = picks.groupBy(*by, "trial").agg(F.first("n_points").alias("n_points"), *[c.alias(n) for n, c in at.items()])
     ax, ay, bx, by_, cx, cy = [F.col(c) for c in ("_u0", "_v0", "_u1", "_v1", "_u2", "_v2")]
     d = 2.0 * (ax * (by_ - cy) + bx * (cy - ay) + cx * (ay - by_))
     sa, sb, sc = ax * ax + ay * ay, bx * bx + by_ * by_, cx * cx + cy * cy
@@ -233,14 +235,15 @@ def circle_fit(points: DataFrame, by: Sequence[str], tolerance: float = 0.03, tr
     by = list(by)
     cand = cut_lineage(circle_candidates(points, by, trials, seed))
     off = F.abs(F.sqrt((F.col("u") - F.col("cu")) * (F.col("u") - F.col("cu")) + (F.col("v") - F.col("cv")) * (F.col("v") - F.col("cv"))) - F.col("cr"))
-    scored = points.select(*by, "u", "v").join(cand, by).withColumn("_e", off)
+    # merge joins: statistics do not see the points a view explodes, and would broadcast them
+    scored = points.select(*by, "u", "v").join(cand.hint("merge"), by).withColumn("_e", off)
     votes = scored.groupBy(*by, "trial").agg(
         F.count(F.when(F.col("_e") <= tolerance, 1)).alias("_in"), half_even(F.sum(F.col("_e") * F.col("_e")), 6).alias("_sq")
     )
     w = Window.partitionBy(*by).orderBy(F.desc("_in"), "_sq", "trial")
     best = votes.withColumn("_r", F.row_number().over(w)).filter((F.col("_r") == 1) & (F.col("_in") >= 3)).select(*by, "trial")
-    best = cand.join(best, [*by, "trial"], "left_semi")
-    inliers = points.select(*by, "u", "v").join(best, by).withColumn("_e", off).filter(F.col("_e") <= tolerance)
+    best = cand.join(best.hint("merge"), [*by, "trial"], "left_semi")
+    inliers = points.select(*by, "u", "v").join(best.hint("merge"), by).withColumn("_e", off).filter(F.col("_e") <= tolerance)
     # moments about the candidate centre keep the 2x2 system well conditioned
     p, q = F.col("u") - F.col("cu"), F.col("v") - F.col("cv")
     w2 = p * p + q * q
@@ -268,7 +271,8 @@ def circumferential_completeness(points: DataFrame, circles: DataFrame, by: Sequ
     """
     by = list(by)
     du, dv = F.col("u") - F.col("cu"), F.col("v") - F.col("cv")
-    rows = points.select(*by, "u", "v").join(circles.select(*by, "cu", "cv", "radius"), by)
+    # merge joins: statistics do not see the points a view explodes, and would broadcast them
+    rows = points.select(*by, "u", "v").join(circles.select(*by, "cu", "cv", "radius").hint("merge"), by)
     d = F.sqrt(du * du + dv * dv)
     ring = rows.select(*by, du.alias("du"), dv.alias("dv"), d.alias("d"), "radius").filter(
         (F.col("d") >= 0.8 * F.col("radius")) & (F.col("d") <= 1.2 * F.col("radius")) & (F.col("d") > 0)
@@ -284,7 +288,7 @@ def circumferential_completeness(points: DataFrame, circles: DataFrame, by: Sequ
         ring = ring.filter(F.degrees(F.acos(geo.clip(cos, -1.0, 1.0))) < 5.0)
     bit = F.expr("shiftleft(1L, _k)")
     hits = ring.groupBy(*by).agg(F.bit_count(F.bit_or(bit)).alias("_n"))
-    out = circles.select(*by).join(hits, by, "left")
+    out = circles.select(*by).join(hits.hint("merge"), by, "left")
     return out.select(*by, F.rint(F.coalesce("_n", F.lit(0)) * 100.0 / SECTORS).alias("cci"))
 
 
