@@ -352,13 +352,20 @@ def cylinder_fit_variation(points: DataFrame, by: Sequence[str], trials: int = 5
     )
 
 
-def smooth_cylinders(cylinders: DataFrame, k: int = 7, start_radius: float = 0.5) -> DataFrame:
-    """Per tree, medians (radius, xy, normal) and mean completeness of the k nearest cylinders."""
+def smooth_cylinders(cylinders: DataFrame, k: int = 7) -> DataFrame:
+    """Per tree, medians (radius, xy, normal) and mean completeness of the k nearest cylinders.
+
+    Cylinders at one position have the same neighbours, which are searched once.
+    """
     by = ["plot_id", "tree_id"]
     attrs = ("radius", "x", "y", "nx", "ny", "nz", "cci")
-    near = knn_join(cylinders, cylinders, k, "cyl_id", "cyl_id", start_radius, by=by, take=attrs)
+    spot = [f"_at_{c}" for c in XYZ]
+    spots = cut_lineage(cylinders.groupBy(*by, *XYZ).agg(F.min("cyl_id").alias("cyl_id")))
+    near = nearest_rows(spots, cylinders, k, "cyl_id", "cyl_id", by=by, take=attrs)
     mid = near.groupBy(*by, "cyl_id").agg(
         *[F.percentile(c, F.lit(0.5)).alias(c) for c in attrs[:-1]], F.avg("cci").alias("cci")
     )
-    keep = [c for c in cylinders.columns if c not in attrs]
-    return cylinders.select(*keep).join(mid, [*by, "cyl_id"]).select(*cylinders.columns)
+    placed = spots.select(*by, "cyl_id", *[F.col(c).alias(s) for c, s in zip(XYZ, spot)])
+    mid = cut_lineage(placed.join(mid.hint("merge"), [*by, "cyl_id"]).drop("cyl_id"))
+    rows = cylinders.select(*[c for c in cylinders.columns if c not in (*attrs, "z")], *[F.col(c).alias(s) for c, s in zip(XYZ, spot)], "z")
+    return rows.join(mid.hint("merge"), [*by, *spot]).select(*cylinders.columns)
