@@ -26,7 +26,7 @@ CLASS_DTM = 8
 #: Bits of a point id that hold the position in its file; the file's number stands above them.
 POSITION_BITS = 40
 #: Rows per file and writing task that the writers aim at.
-ROWS_PER_FILE = 5_000_000
+ROWS_PER_FILE = 1_000_000
 
 
 def select_dims(df: DataFrame, headers: Sequence[str]) -> DataFrame:
