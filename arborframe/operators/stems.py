@@ -357,17 +357,24 @@ def cylinder_fit_variation(points: DataFrame, by: Sequence[str], trials: int = 5
 def smooth_cylinders(cylinders: DataFrame, k: int = 7) -> DataFrame:
     """Per tree, medians (radius, xy, normal) and mean completeness of the k nearest cylinders.
 
-    Cylinders at one position have the same neighbours, which are searched once.
+    Cylinders at one position have the same neighbours, which are searched once. Rows that
+    repeat an id have the k nearest of all their pairs.
     """
     by = ["plot_id", "tree_id"]
     attrs = ("radius", "x", "y", "nx", "ny", "nz", "cci")
-    spot = [f"_at_{c}" for c in XYZ]
-    spots = cut_lineage(cylinders.groupBy(*by, *XYZ).agg(F.min("cyl_id").alias("cyl_id")))
-    near = nearest_rows(spots, cylinders, k, "cyl_id", "cyl_id", by=by, take=attrs)
-    mid = near.groupBy(*by, "cyl_id").agg(
-        *[F.percentile(c, F.lit(0.5)).alias(c) for c in attrs[:-1]], F.avg("cci").alias("cci")
-    )
-    placed = spots.select(*by, "cyl_id", *[F.col(c).alias(s) for c, s in zip(XYZ, spot)])
-    mid = cut_lineage(placed.join(mid.hint("merge"), [*by, "cyl_id"]).drop("cyl_id"))
-    rows = cylinders.select(*[c for c in cylinders.columns if c not in (*attrs, "z")], *[F.col(c).alias(s) for c, s in zip(XYZ, spot)], "z")
-    return rows.join(mid.hint("merge"), [*by, *spot]).select(*cylinders.columns)
+    at = F.struct(*XYZ).alias("_at")
+    spots = cut_lineage(cylinders.select(*by, *XYZ).distinct()).select("*", at)
+    near = cut_lineage(nearest_rows(spots, cylinders, k, "_at", "cyl_id", by=by, take=attrs))
+
+    def smoothed(rows: DataFrame, key: str) -> DataFrame:
+        return cut_lineage(rows.groupBy(*by, key).agg(*[F.percentile(c, F.lit(0.5)).alias(c) for c in attrs[:-1]], F.avg("cci").alias("cci")))
+
+    rows = cylinders.filter("cyl_id IS NOT NULL").select(*[c for c in cylinders.columns if c not in attrs], at)
+    repeated = cut_lineage(rows.groupBy(*by, "cyl_id").agg(F.count(F.lit(1)).alias("_m")).filter("_m > 1").drop("_m"))
+    once = rows.join(repeated, [*by, "cyl_id"], "left_anti").join(smoothed(near, "_at").hint("merge"), [*by, "_at"]).select(*cylinders.columns)
+    if repeated.isEmpty():
+        return once
+    again = rows.join(repeated, [*by, "cyl_id"], "left_semi")
+    nth = Window.partitionBy(*by, "cyl_id").orderBy("near_dist", "near_id")
+    pairs = again.select(*by, "cyl_id", "_at").join(near.hint("merge"), [*by, "_at"]).withColumn("_r", F.row_number().over(nth))
+    return once.unionByName(again.join(smoothed(pairs.filter(F.col("_r") <= k), "cyl_id").hint("merge"), [*by, "cyl_id"]).select(*cylinders.columns))

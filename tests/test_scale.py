@@ -90,3 +90,12 @@ def test_a_writing_task_holds_a_bounded_number_of_rows(spark, tmp_path):
     so.write_by(spark.range(2_500_000).select(F.lit(0).alias("plot_id"), "id"), f"{tmp_path}/out", "plot_id")
     sizes = [pq.read_metadata(f).num_rows for f in glob.glob(f"{tmp_path}/out/plot_id=0/*.parquet")]
     assert sum(sizes) == 2_500_000 and max(sizes) <= 1_000_000
+
+
+def test_smoothing_counts_the_pairs_of_repeated_ids(spark):
+    names = "plot_id int, cyl_id long, tree_id long, x double, y double, z double, nx double, ny double, nz double, radius double, cci double"
+    rows = [(0, i, 0, 0.0, 0.0, float(i), 0.0, 0.0, 1.0, 0.1, float(i)) for i in range(20)]
+    out = stems.smooth_cylinders(spark.createDataFrame([*rows, rows[0]], names))
+    got = sorted((r.cyl_id, round(r.cci, 6)) for r in out.collect())
+    # id 0 twice: four pairs with itself, two with 1, one with 2; id 10 meets 7 to 13
+    assert got[:2] == [(0, round(4 / 7, 6))] * 2 and (10, 10.0) in got and len(got) == 21
