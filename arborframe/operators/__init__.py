@@ -1,0 +1,8 @@
+"""Operators on point clouds, cylinders, tapers and inventories."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Tasks receive this package's code with each job, so executors need no copy of it on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
