@@ -71,11 +71,12 @@ def test_search_writes_few_rows_per_row(spark, monkeypatch):
 def test_thinning_makes_no_pairs_within_the_radius(spark, monkeypatch):
     rows = [(0, i, i % 20 / 100, i // 20 / 100, i % 7 / 100) for i in range(400)]
     points = spark.createDataFrame(rows, ROW.format("point_id"))
+    monkeypatch.setattr(clean, "PAIR_MATES", 1e9)
     want = {r.point_id for r in clean.thin_min_spacing(points, 0.05).collect()}
+    monkeypatch.setattr(clean, "PAIR_MATES", 0)
 
     def refuse(*_, **__):
         raise AssertionError("all pairs")
 
-    monkeypatch.setattr(clean, "FEW_POINTS", 0)
-    monkeypatch.setattr(clean, "radius_pairs", refuse)
+        monkeypatch.setattr(clean, "radius_pairs", refuse)
     assert {r.point_id for r in clean.thin_min_spacing(points, 0.05).collect()} == want
