@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from arborframe.operators import clean, nearest
+from arborframe.operators import celltree, clean, nearest
 
 ROW = "plot_id int, {} long, x double, y double, z double"
 
@@ -80,3 +80,24 @@ def test_thinning_makes_no_pairs_within_the_radius(spark, monkeypatch):
 
         monkeypatch.setattr(clean, "radius_pairs", refuse)
     assert {r.point_id for r in clean.thin_min_spacing(points, 0.05).collect()} == want
+
+
+@pytest.mark.parametrize("own", [None, "_s"])
+def test_large_sparse_clouds_are_thinned_without_pairs(spark, monkeypatch, own):
+    """Chunks give what pairs give: ids of several plots, copies of positions, unknown coordinates and ids."""
+    rows = [(*r, 0.3 if r[0] else 0.15) for r in cloud(1500, 3)] + [(0, 9000, None, 1.0, 1.0, 0.3), (0, None, 1.0, 1.0, 1.0, 0.3), (0, 9001, 0.1, 0.1, 0.1, None)]
+    points = spark.createDataFrame(rows, ROW.format("point_id") + ", _s double")
+    thin = lambda p: sorted(r.point_id for r in clean.thin_min_spacing(p, 0.3, spacing_col=own).collect())
+    monkeypatch.setattr(clean, "PAIR_MATES", 1e9)
+    want = thin(points)
+    assert 9000 in want and len(want) < 1400
+
+    def refuse(*_, **__):
+        raise AssertionError("all pairs")
+
+    monkeypatch.setattr(clean, "PAIR_ROWS", -1, raising=False)
+    monkeypatch.setattr(clean, "THIN_ROWS", 64, raising=False)
+    monkeypatch.setattr(clean, "closest_within", refuse)
+    if own:
+        monkeypatch.setattr(celltree, "CROWD", 0)
+    assert thin(points if own else points.withColumn("more", clean.F.lit(1))) == want
