@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from arborframe.operators import celltree, clean, nearest
+from arborframe.operators import assemble, celltree, clean, nearest
 
 ROW = "plot_id int, {} long, x double, y double, z double"
 
@@ -101,3 +101,42 @@ def test_large_sparse_clouds_are_thinned_without_pairs(spark, monkeypatch, own):
     if own:
         monkeypatch.setattr(celltree, "CROWD", 0)
     assert thin(points if own else points.withColumn("more", clean.F.lit(1))) == want
+
+
+CYLINDER = "plot_id int, cyl_id long, tree_id long, branch_id long, parent_branch_id long, x double, y double, z double, nx double, ny double, nz double, radius double"
+
+
+@pytest.mark.parametrize("repeat", [False, True])
+def test_growth_makes_no_pairs(spark, monkeypatch, repeat):
+    rnd = random.Random(8)
+    rows = [(i % 3 // 2, i, 0, i % 9, 0, rnd.choice((0.0, 0.1, 3.0)), rnd.choice((0.0, 0.2)), round(rnd.uniform(0, 6), 1), rnd.choice((0.0, 0.1)), 0.0, 1.0, rnd.randint(1, 30) / 100) for i in range(500)]
+    rows += [(0, 900, 0, 1, 7, None, 0.0, 1.0, 0.0, 0.0, 1.0, 0.1), (0, 901, 0, 1, 7, 0.0, 0.0, 1.0, 0.0, 0.0, 0.0, 0.1), (0, 902, 0, 1, 7, 0.0, 0.0, 1.0, 0.0, 0.0, 1.0, None)]
+    if repeat:
+        rows += [(0, 3, 0, 5, 0, 0.0, 0.0, 2.0, 0.0, 0.0, 1.0, 0.2), (None, 904, 0, 1, 7, 0.0, 0.0, 1.0, 0.0, 0.0, 1.0, 0.1)]
+    angle = lambda p, q: math.degrees(math.acos(max(-1.0, min(1.0, sum(a * b for a, b in zip(p, q)) / math.sqrt(sum(a * a for a in p) * sum(b * b for b in q))))))
+    sound = [r for r in rows if None not in r and any(r[8:11])]
+    best, followed = {}, set()
+    for c in sound:
+        for p in sound:
+            near = c[0] == p[0] and (c[7], c[1]) > (p[7], p[1]) and math.dist(c[5:8], p[5:8]) <= 0.6 and c[11] < p[11] * 1.05 and angle(p[8:11], c[8:11]) <= 5
+            if near:
+                best[c[:2]] = max(best.get(c[:2], (-1.0,)), (p[7], p[1], p[3]))
+                followed.add(p[:2])
+    starts = {plot: [r[1] for r in sorted(rows, key=lambda r: (r[7] is not None, r[7] or 0, r[1])) if r[0] == plot and r[:2] not in best] for plot in (0, 1)}
+    want = set()
+    for r in rows:
+        if r[:2] in followed:
+            root = r[1]
+            while (r[0], root) in best:
+                root = best[r[0], root][1]
+            want |= {(*r[:2], k + 1, best.get(r[:2], (0, 0, r[4]))[2]) for k, i in enumerate(starts[r[0]]) if i == root}
+
+    def refuse(*_, **__):
+        raise AssertionError("all pairs")
+
+    monkeypatch.setattr(assemble, "radius_pairs", refuse)
+    monkeypatch.setattr(assemble, "REACH_ROWS", 50, raising=False)
+    monkeypatch.setattr(assemble, "REACH_BLOCK", 8, raising=False)
+    monkeypatch.setattr(assemble, "REACH_STEP", 5, raising=False)
+    got = assemble.grow_from_lowest(spark.createDataFrame(rows, CYLINDER), 0.6, 5.0).collect()
+    assert {(r.plot_id, r.cyl_id, r.tree_id, r.parent_branch_id) for r in got} == want and len(want) > 300
