@@ -46,6 +46,30 @@ def test_near_dedup_keeps_one_of_every_similar_group(spark):
     assert jaccard.keep_first(docs.limit(0)).count() == 0
 
 
+def test_near_dedup_links_by_simhash_and_verifies(spark, monkeypatch):
+    """Near copies are linked by fingerprints before the prefixes, which then try no pair of a group; a link below the similarity does not stay."""
+    rng = random.Random(6)
+    base = [prose(rng, 400) for _ in range(20)]
+    texts = base + [changed(rng, t, 1) for t in base] + [" ".join([base[0]] * 2), "a b c d", "A  b c d", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    seen, verified = [], jaccard.verified
+
+    def spied(docs, rows, classes, pairs, size):
+        out = verified(docs, rows, classes, pairs, size)
+        seen.append((pairs.count(), {(r.u, r.v) for r in out.collect()}))
+        return out
+
+    monkeypatch.setattr(jaccard, "verified", spied)
+    kept = {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect()}
+    sets = [jaccard.shingle_set(t) for t in texts]
+    pair = lambda i, j: tuple(sorted((jaccard.set_hash(sets[i]), jaccard.set_hash(sets[j]))))
+    bits = [(simhash.fingerprint(texts[i]) ^ simhash.fingerprint(texts[i + 20])).bit_count() for i in range(20)]
+    near = {pair(i, i + 20) for i in range(20) if bits[i] <= 4}
+    assert len(near) >= 10 and near <= seen[0][1]
+    assert seen[1][0] <= 20 - len(near) + 2
+    assert kept == {*range(20), 41, 43}
+
+
 def extracted(spark, pages):
     rows = wrapper.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
     return {r.page_id: r.text for r in rows}
