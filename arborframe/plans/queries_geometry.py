@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from arborframe.functions import clock
 from arborframe.functions import geometry as geo
 from arborframe.functions.numeric import half_even
+from arborframe.lineage import cut_lineage
 from arborframe.operators import shapes as sh
 from arborframe.plans.queries_measure import TREES, tree_frame
 from arborframe.plans.registry import query
@@ -185,17 +186,23 @@ def glyph_frame(v):
     return g.filter((F.col("i") * 7 + F.col("row") * 3 + F.col("col") * 5) % 4 == 0).select(F.expr("char(32 + i)").alias("ch"), "row", "col")
 
 
+#: Trees whose labels a task turns into points.
+TREES_A_TASK = 10_000
+
+
 @query("O3_annotate_points", TREES.rstrip() + f""", {GLYPH_SQL}, {LABEL_SQL},
 chars AS (SELECT *, unnest(range(0, length(text))) AS i FROM labels)
 SELECT plot_id, tree_id, {even('avg(px)', 6)} AS mean_x, {even('avg(py)', 6)} AS mean_y, {even('avg(pz)', 6)} AS mean_z, count(*) AS n FROM (
 SELECT plot_id, tree_id, (i * 11 + g.col) * 0.00256 + x + 0.2 + 0.5 * shift AS px, (10 - g.row) * sqrt(0.5) * 0.00256 + y AS py, (10 - g.row) * sqrt(0.5) * 0.00256 + z AS pz
 FROM chars c JOIN glyphs g ON g.ch = substr(text, CAST(i AS INT) + 1, 1)) GROUP BY plot_id, tree_id""")
 def _(v):
-    trees = tree_frame(v).withColumn("tree_number", F.col("tree_id"))
-    pts = sh.annotate_points(sh.label_lines(trees), glyph_frame(v))
-    return pts.groupBy("plot_id", "tree_id").agg(
-        r(F.avg("px")).alias("mean_x"), r(F.avg("py")).alias("mean_y"), r(F.avg("pz")).alias("mean_z"), F.count(F.lit(1)).alias("n")
-    )
+    trees = cut_lineage(tree_frame(v).withColumn("tree_number", F.col("tree_id")))
+    # a tree is a short row with thousands of points: by the size of the rows there would be too few tasks
+    trees = trees.repartition(1 + trees.count() // TREES_A_TASK, "plot_id", "tree_id")
+    # every point is made; a label's points are added up in the task that makes them
+    pts = sh.annotate_points(sh.label_lines(trees), glyph_frame(v), sums=True)
+    means = [r(F.try_divide(F.sum(s), F.sum(F.when(F.col(s).isNotNull(), F.col("n_points"))))).alias(m) for s, m in zip(("sum_px", "sum_py", "sum_pz"), ("mean_x", "mean_y", "mean_z"))]
+    return pts.groupBy("plot_id", "tree_id").agg(*means, F.sum("n_points").alias("n")).filter("n > 0")
 
 
 @query("O5_tree_description", TREES + """SELECT plot_id, tree_id, concat(chr(10), ' Tree ', tree_id, chr(10), 'Distance:   ', distance, ' m', chr(10), 'Bearing:    ', bearing, ' degrees', chr(10), 'DBH height: ', dbh_bin, ' m', chr(10),

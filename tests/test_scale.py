@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from arborframe import fixtures
 from arborframe.lineage import cut_lineage
-from arborframe.operators import spatial, stems, tiling
+from arborframe.operators import shapes, spatial, stems, tiling
+from arborframe.plans import catalog, queries_geometry
 from arborframe.sources import points as so
 
 BY = ("plot_id", "section_id")
@@ -100,3 +101,61 @@ def test_smoothing_counts_the_pairs_of_repeated_ids(spark):
     got = sorted((r.cyl_id, round(r.cci, 6)) for r in out.collect())
     # id 0 twice: four pairs with itself, two with 1, one with 2; id 10 meets 7 to 13
     assert got[:2] == [(0, round(4 / 7, 6))] * 2 and (10, 10.0) in got and len(got) == 21
+
+
+def text_labels(spark):
+    """Labels with characters without a glyph, and null texts and places."""
+    rows = [(1, "AB?A", 1.0, 2.0, 3.0, 0.5), (2, "B", None, 2.0, 3.0, 0.5), (3, "\U0001f332AA", 1.5, None, 0.25, 0.0), (4, "A", 1.0, 2.0, None, None)]
+    rows += [(5, None, 1.0, 2.0, 3.0, 0.5), (6, "", 1.0, 2.0, 3.0, 0.5), (7, "??", 1.0, 2.0, 3.0, 0.5), (1, "AB?A", 1.0, 2.0, 3.0, 0.5)]
+    labels = spark.createDataFrame(rows, "label_id int, text string, x double, y double, z double, shift double")
+    bits = [("A", 0, 0), ("A", 10, 3), ("B", 4, 10), ("B", 4, 10), ("\U0001f332", 1, 2), (None, 1, 1)]
+    return rows, labels, bits, spark.createDataFrame(bits, "ch string, row int, col int")
+
+
+def text_points(rows, bits):
+    tilt, out = 0.5**0.5, []
+    for row in rows:
+        _, text, x, y, z, shift = row
+        for i, c in enumerate(text or ""):
+            for r, col in [(r, col) for ch, r, col in bits if ch == c]:
+                up = (10 - r) * tilt * 0.00256
+                px = None if x is None or shift is None else (i * 11 + col) * 0.00256 + x + 0.2 + 0.5 * shift
+                out.append((*row, px, None if y is None else up + y, None if z is None else up + z))
+    return out
+
+
+def test_text_points_are_the_set_bits_of_every_character(spark, monkeypatch):
+    rows, labels, bits, glyphs = text_labels(spark)
+    monkeypatch.setattr(shapes, "BLOCK_CHARS", 2)
+    got = shapes.annotate_points(labels, glyphs)
+    assert got.columns == [*labels.columns, "px", "py", "pz"]
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, text_points(rows, bits)))
+
+
+def test_text_points_are_added_up_by_the_task_that_makes_them(spark):
+    rows, labels, bits, glyphs = text_labels(spark)
+    points = text_points(rows, bits)
+    out = shapes.annotate_points(labels, glyphs, sums=True)
+    assert "Join" not in plan(out) and plan(out).count("ArrowEvalPython") == 1
+    got = out.collect()
+    assert len(got) == len(rows)
+    for r in got:
+        own = [p[-3:] for p in points if p[0] == r.label_id]
+        times = sum(q[0] == r.label_id for q in rows)
+        assert r.n_points * times == len(own)
+        for total, column in zip((r.sum_px, r.sum_py, r.sum_pz), zip(*own)):
+            assert total is None if None in column else total == pytest.approx(sum(column) / times)
+
+
+def test_trees_are_dealt_over_tasks_before_they_become_points(spark, tmp_path, monkeypatch):
+    """By the size of the rows adaptive execution would make one task of them."""
+    lines = spark.range(400).select(
+        F.col("id").alias("l_orderkey"), F.lit(1).alias("l_linenumber"), F.lit(30.0).alias("l_quantity"), (F.col("id") % 7).alias("l_suppkey"), F.col("id").alias("l_partkey")
+    )
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(10).select(F.col("id").alias("s_suppkey")).write.parquet(f"{tmp_path}/supplier.parquet")
+    monkeypatch.setattr(queries_geometry, "TREES_A_TASK", 20)
+    out = catalog.QUERIES["O3_annotate_points"](spark, str(tmp_path))
+    assert "REPARTITION_BY_NUM" in plan(out) and "hashpartitioning(plot_id" in plan(out).split("REPARTITION_BY_NUM")[0].rsplit("\n", 1)[1]
+    got = out.collect()
+    assert len(got) == 400 and all(r.n > 3000 for r in got)
