@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from arborframe import fixtures
 from arborframe.lineage import cut_lineage
-from arborframe.operators import shapes, spatial, stems, tiling
+from arborframe.operators import assemble, shapes, spatial, stems, tiling
 from arborframe.plans import catalog, queries_geometry
 from arborframe.sources import points as so
 
@@ -159,3 +159,30 @@ def test_trees_are_dealt_over_tasks_before_they_become_points(spark, tmp_path, m
     assert "REPARTITION_BY_NUM" in plan(out) and "hashpartitioning(plot_id" in plan(out).split("REPARTITION_BY_NUM")[0].rsplit("\n", 1)[1]
     got = out.collect()
     assert len(got) == 400 and all(r.n > 3000 for r in got)
+
+
+def test_segment_parents_place_ends_by_one_generator(spark, monkeypatch):
+    # with a generator per coordinate the optimizer inferred constraints through every alias until the driver's heap was full
+    rows = [(0, 10 * b + i, b, 0.0, 0.0, float(6 * b + i) / 2, 0.0, 0.0, 1.0, 0.1, 90.0) for b in range(2) for i in range(6)]
+    cylinders = spark.createDataFrame(rows, "plot_id int, cyl_id long, branch_id long, x double, y double, z double, nx double, ny double, nz double, radius double, cci double")
+    seen = []
+
+    def written(df):
+        seen.append(df._jdf.queryExecution().optimizedPlan().toString().count("Generate "))
+        return cut_lineage(df)
+
+    monkeypatch.setattr(assemble, "cut_lineage", written)
+    links, _ = assemble.segment_parents(cylinders.withColumn("x", F.col("x") + 0.2 * F.col("branch_id")))
+    assert [(r.branch_id, r.parent_branch_id, r.parent_cyl_id) for r in links.collect()] == [(1, 0, 5)]
+    assert max(seen) == 1
+
+
+@pytest.mark.parametrize("coords", [("x",), ("x", "y"), ("x", "y", "z")])
+def test_radius_pairs_equal_all_pairs_near(spark, coords):
+    at = [(i, i % 5 * 0.7 - 1.4, i % 7 * 0.45 - 1.0, (i * 3 % 11) * 0.3) for i in range(40)]
+    rows = spark.createDataFrame([(i % 2, i, x, y, z) for i, x, y, z in at] + [(0, 90, None, 0.0, 0.0)], "plot_id int, id long, x double, y double, z double")
+    use = ["xyz".index(c) + 1 for c in coords]
+    want = sorted((a[0], b[0]) for a in at for b in at if a[0] % 2 == b[0] % 2 and sum((a[c] - b[c]) ** 2 for c in use) ** 0.5 <= 0.61)
+    for size in (None, 0.25, 1.7):
+        got = spatial.radius_pairs(rows, rows, 0.61, coords, size=size).select("id", "near.id").collect()
+        assert sorted(map(tuple, got)) == want
