@@ -152,3 +152,16 @@ def test_deep_nesting_is_read(spark):
 def test_extraction_ignores_extra_columns(spark):
     pages = spark.createDataFrame([(1, "http://a/", "<p>x", "t", "h", 3)], "page_id long, url string, html string, text string, host string, _host int")
     assert [(r.page_id, r.text) for r in wrapper.extract(pages).collect()] == [(1, "x")]
+
+
+def test_the_order_of_shingles_counts_all_documents(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "SAMPLE_DOCS", 1, raising=False)  # a sample of one document in 32, as of a large table
+    passage = " ".join(f"shared{k}" for k in range(9))
+    texts = [f"{passage} " + " ".join(f"own{i}w{k}" for k in range(30)) for i in range(24)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    common = set(jaccard.shingle_set(passage).tolist())
+    rows = jaccard.with_prefix(docs).collect()
+    assert len(rows) == 24 and all(len(r.prefix) == 8 and not common & set(r.prefix) for r in rows)
+    # the order is the same however documents are dealt
+    again = {r.doc_id: r.prefix for r in jaccard.with_prefix(docs.repartition(7)).collect()}
+    assert again == {r.doc_id: r.prefix for r in rows}
