@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from arborframe.operators import assemble, celltree, clean, nearest
+from arborframe.operators import assemble, celltree, clean, measure, nearest
 
 ROW = "plot_id int, {} long, x double, y double, z double"
 
@@ -140,3 +140,37 @@ def test_growth_makes_no_pairs(spark, monkeypatch, repeat):
     monkeypatch.setattr(assemble, "REACH_STEP", 5, raising=False)
     got = assemble.grow_from_lowest(spark.createDataFrame(rows, CYLINDER), 0.6, 5.0).collect()
     assert {(r.plot_id, r.cyl_id, r.tree_id, r.parent_branch_id) for r in got} == want and len(want) > 300
+
+
+@pytest.mark.parametrize("few", [0, 50_000])
+@pytest.mark.parametrize("gap", [None, float("nan")])
+def test_votes_become_a_label_where_they_are_found(spark, monkeypatch, few, gap):
+    monkeypatch.setattr(nearest, "FEW_ROWS", few)
+    monkeypatch.setattr(nearest, "CHUNK_ROWS", 64)
+    rng = np.random.default_rng(5)
+    votes = [(i % 2, i, *rng.integers(0, 6, 3).astype(float).tolist(), *rng.integers(0, 4, 2).astype(float).tolist()) for i in range(700 if not few else 60)]
+    votes[7] = (*votes[7][:5], gap, 1.0)
+    points = [(i % 3, i % 189, *(rng.random(3) * 6).tolist()) for i in range(200)]
+    at = lambda r: np.array(r[2:5])
+    want = {}
+    for r in points:
+        near = sorted((float(np.sqrt(((at(r) - at(v)) ** 2).sum())), v[1], v[5], v[6]) for v in votes if v[0] == r[0])[:5]
+        want.setdefault(r[:2], []).extend(near)
+
+    def median(values):
+        kept = sorted((v for v in values if v is not None), key=lambda v: (np.isnan(v), v))
+        return (kept[(len(kept) + 1) // 2 - 1] + kept[len(kept) // 2]) / 2
+
+    def label(near):
+        p = [median([n[c] for n in sorted(near, key=lambda n: n[:2])[:5]]) for c in (2, 3)]
+        return int(np.argmax(p))
+
+    seen = []
+    rows = nearest.as_rows
+    monkeypatch.setattr(nearest, "as_rows", lambda lists, *a: rows(seen.append(lists) or lists, *a))
+    df = spark.createDataFrame(votes, "plot_id int, vote_id long, x double, y double, z double, p0 double, p1 double")
+    pts = spark.createDataFrame(points, "plot_id int, point_id long, x double, y double, z double")
+    got = {(r.plot_id, r.point_id): r.label for r in measure.label_vote(pts, df, 5).collect()}
+    assert got == {key: label(near) for key, near in want.items() if near}
+    if few and gap is not None:  # only lists of points that repeat an id are rows
+        assert {r.point_id for lists in seen for r in lists.collect()} <= set(range(11))
